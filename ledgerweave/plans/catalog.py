@@ -567,7 +567,12 @@ def audit_step_counts(spark, sf_dir):
 permissive("dim_customer_dedup", lambda wh: wh.dim_customer)
 permissive("permissive_dim_channel", lambda wh: wh.dim_channel)
 permissive("permissive_dim_date", lambda wh: wh.dim_date)
-permissive("xref_exact_id", lambda wh: wh.xref_rows.where(F.col("source_system") == "S1"))
+permissive(
+    "xref_exact_id",
+    lambda wh: wh.xref_rows.where(F.col("source_system") == "S1").select(
+        "source_system", "source_customer_id", "customer_key", "match_rule", "match_status"
+    ),
+)
 permissive("identity_email_rule", lambda wh: wh.customer_xref)
 permissive("permissive_dim_account", lambda wh: wh.dim_account)
 permissive(
