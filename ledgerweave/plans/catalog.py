@@ -402,9 +402,8 @@ def family(name: str, *families: str) -> None:
     checks = [c for c in sc.source_checks(sc.DERIVED) if not families or c.family in families]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return scorecard.scorecard(
-            bank.bank_sources(spark, sf_dir), checks, sc.derived_expectations(spark, sf_dir)
-        )
+        expected = sc.derived_expectations(spark, sf_dir, {c.name for c in checks})
+        return scorecard.scorecard(bank.bank_sources(spark, sf_dir), checks, expected)
 
     QUERIES[name] = run
 

@@ -435,11 +435,11 @@ def negative_amount(wh: Warehouse) -> DataFrame:
     return real.unionByName(bad)
 
 
-def warehouse_constraints(wh: Warehouse) -> DataFrame:
-    tables = {name: getattr(wh, name) for name in constraints.WAREHOUSE_RULES}
+def table_constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Declared constraints of the warehouse tables."""
     found = constraints.violations(tables, constraints.WAREHOUSE_RULES)
     repeated = (
-        wh.xref_rows.groupBy(*constraints.XREF_IDENTITY)
+        tables["customer_xref"].groupBy(*constraints.XREF_IDENTITY)
         .agg(_rows().alias("n"))
         .agg(
             F.lit("customer_xref").alias("table_name"),
@@ -450,6 +450,10 @@ def warehouse_constraints(wh: Warehouse) -> DataFrame:
     return found.unionByName(repeated).select("*", verdict(F.col("violations") == 0))
 
 
+def warehouse_constraints(wh: Warehouse) -> DataFrame:
+    return table_constraints({name: getattr(wh, name) for name in constraints.WAREHOUSE_RULES})
+
+
 CHECKS = {
     "dimension counts": dimension_counts,
     "disposition balance": disposition_balance,
@@ -464,18 +468,17 @@ CHECKS = {
     "T12 unresolved visibility": unresolved_visible,
     "T13 attribution totals": lambda wh: attribution_balance(reports.attribution_report(wh)),
     "identity status": lambda wh: identity_status(wh.xref_rows),
-    "constraints": warehouse_constraints,
 }
 
 
-def run_checks(wh: Warehouse) -> DataFrame:
-    """(guard, failures) per check."""
+def run_checks(wh: Warehouse, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """(guard, failures) per check; constraints are read from ``tables`` if given."""
+    results = {name: check(wh) for name, check in CHECKS.items()}
+    results["constraints"] = table_constraints(tables) if tables else warehouse_constraints(wh)
     return _union(
         [
-            check(wh).agg(
-                F.lit(name).alias("guard"), F.count_if(F.col("result") != "PASS").alias("failures")
-            )
-            for name, check in CHECKS.items()
+            df.agg(F.lit(name).alias("guard"), F.count_if(F.col("result") != "PASS").alias("failures"))
+            for name, df in results.items()
         ]
     )
 

@@ -38,7 +38,7 @@ class LooseWarehouse:
         workspace: Workspace | None = None,
     ):
         self.spark = spark
-        self.src = dict(sources)
+        self.src = sources
         self.calendar = calendar
         self.ws = workspace or Workspace(spark, "loose")
 

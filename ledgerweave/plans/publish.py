@@ -69,7 +69,8 @@ def build_batch(
         wh = Warehouse(spark, sources, ws, batch_id, write_snapshots)
         write_batch(wh, batch_path(root, batch_id))
         audit.record_steps(wh.etl_run_log)
-        guards.assert_checks(guards.run_checks(wh))
+        written = read_batch(spark, batch_path(root, batch_id))
+        guards.assert_checks(guards.run_checks(wh, written))
     except Exception as error:
         audit.record(batch_id, FAIL, str(error)[:500])
         raise

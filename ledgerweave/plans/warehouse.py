@@ -17,7 +17,7 @@ from ledgerweave.operators import disposition as dp
 from ledgerweave.operators import identity as idn
 from ledgerweave.operators.keys import ordered_rows, with_position
 from ledgerweave.operators.workspace import Workspace
-from ledgerweave.sources.files import snapshot, written_snapshots
+from ledgerweave.sources.files import Staged
 
 EVENT_TIMES = {
     "payment_transaction": "transaction_ts",
@@ -38,11 +38,8 @@ class Warehouse:
         self.spark = spark
         self.ws = workspace or Workspace(spark, "warehouse")
         self.batch_id = batch_id
-        self.src = dict(sources)
-        if write_snapshots:
-            self.stg = written_snapshots(self.ws, sources, batch_id)
-        else:
-            self.stg = {name: snapshot(df, batch_id) for name, df in sources.items()}
+        self.src = sources
+        self.stg = Staged(self.ws, sources, batch_id, write_snapshots)
 
     def _keyed(self, name: str, df: DataFrame, order: list[str], key: str, partition_by=()) -> DataFrame:
         rows = ordered_rows(self.ws, f"{name}_rows", df, order, partition_by)
@@ -241,16 +238,17 @@ class Warehouse:
 
     @cached_property
     def reject_rows(self) -> DataFrame:
-        return dp.rejects(*self.decisions)
+        """Rejected events in key order, without the surrogate key."""
+        return ordered_rows(
+            self.ws,
+            "rejected_record_rows",
+            dp.rejects(*self.decisions),
+            ["source_system", "source_table", "source_key"],
+        )
 
     @cached_property
     def rejected_record(self) -> DataFrame:
-        return self._keyed(
-            "rejected_record",
-            self.reject_rows,
-            ["source_system", "source_table", "source_key"],
-            "reject_key",
-        )
+        return with_position(self.ws, "rejected_record", self.reject_rows, "reject_key")
 
     @cached_property
     def etl_run_log(self) -> DataFrame:

@@ -6,6 +6,8 @@ must handle is planted by a rule, so its effect can be recomputed in plain SQL.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -305,17 +307,40 @@ def service_cases(events: DataFrame) -> DataFrame:
     )
 
 
-def bank_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+class Sources(Mapping[str, DataFrame]):
+    """Source tables by name, each derived when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, derived: Mapping[str, tuple]):
+        self._read = lambda name: read_table(spark, sf_dir, name)
+        self._derived = derived
+        self._frames: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            derive, *inputs = self._derived[name]
+            self._frames[name] = derive(*map(self._read, inputs))
+        return self._frames[name]
+
+    def __iter__(self):
+        return iter(self._derived)
+
+    def __len__(self) -> int:
+        return len(self._derived)
+
+
+def bank_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """The eight source tables of the strict contract."""
-    customer = read_table(spark, sf_dir, "customer")
-    events = read_table(spark, sf_dir, "events")
-    return {
-        "customer": core_customers(customer),
-        "account": core_accounts(customer),
-        "customer_account": account_owners(customer),
-        "payment_customer": payment_customers(customer, read_table(spark, sf_dir, "supplier")),
-        "payment_transaction": payment_transactions(read_table(spark, sf_dir, "orders")),
-        "digital_customer": digital_customers(customer),
-        "activity": digital_activity(events),
-        "service_case": service_cases(events),
-    }
+    return Sources(
+        spark,
+        sf_dir,
+        {
+            "customer": (core_customers, "customer"),
+            "account": (core_accounts, "customer"),
+            "customer_account": (account_owners, "customer"),
+            "payment_customer": (payment_customers, "customer", "supplier"),
+            "payment_transaction": (payment_transactions, "orders"),
+            "digital_customer": (digital_customers, "customer"),
+            "activity": (digital_activity, "events"),
+            "service_case": (service_cases, "events"),
+        },
+    )

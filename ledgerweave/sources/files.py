@@ -30,14 +30,32 @@ def snapshot(df: DataFrame, batch_id: str) -> DataFrame:
     return df.withColumn("batch_id", F.lit(batch_id))
 
 
-def written_snapshots(
-    ws: Workspace, sources: Mapping[str, DataFrame], batch_id: str
-) -> dict[str, DataFrame]:
-    """Staged copies, so later stages never depend on a source that moves on."""
-    return {
-        name: ws.table(f"stg_{name}", lambda df=df: snapshot(df, batch_id))
-        for name, df in sources.items()
-    }
+class Staged(Mapping[str, DataFrame]):
+    """Batch-tagged sources by name.
+
+    Written copies keep later stages apart from a source that moves on. Sources
+    that never change under their path need only the tag.
+    """
+
+    def __init__(
+        self, ws: Workspace, sources: Mapping[str, DataFrame], batch_id: str, written: bool
+    ):
+        self._ws, self._sources, self._batch_id, self._written = ws, sources, batch_id, written
+        self._frames: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            tagged = snapshot(self._sources[name], self._batch_id)
+            self._frames[name] = (
+                self._ws.table(f"stg_{name}", lambda: tagged) if self._written else tagged
+            )
+        return self._frames[name]
+
+    def __iter__(self):
+        return iter(self._sources)
+
+    def __len__(self) -> int:
+        return len(self._sources)
 
 
 def scan_expected_identities(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerweave.sources.bank_adapter import (
-    STATES, _select, chosen, days_after, every, pick, prefixed, read_table,
+    STATES, Sources, _select, chosen, days_after, every, pick, prefixed,
 )
 
 # Code lists of the permissive sources.
@@ -145,16 +145,18 @@ def service_cases(events: DataFrame) -> DataFrame:
     )
 
 
-def loose_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def loose_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """The seven source tables of the permissive contract."""
-    customer = read_table(spark, sf_dir, "customer")
-    events = read_table(spark, sf_dir, "events")
-    return {
-        "customers": customers(customer),
-        "accounts": accounts(customer),
-        "payers": payers(customer),
-        "transactions": transactions(read_table(spark, sf_dir, "orders")),
-        "digital_users": digital_users(customer),
-        "digital_activity": digital_activity(events),
-        "service_cases": service_cases(events),
-    }
+    return Sources(
+        spark,
+        sf_dir,
+        {
+            "customers": (customers, "customer"),
+            "accounts": (accounts, "customer"),
+            "payers": (payers, "customer"),
+            "transactions": (transactions, "orders"),
+            "digital_users": (digital_users, "customer"),
+            "digital_activity": (digital_activity, "events"),
+            "service_cases": (service_cases, "events"),
+        },
+    )
