@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerweave.operators.union import union_all
+
 
 @dataclass(frozen=True)
 class Rules:
@@ -66,7 +67,7 @@ def violations(tables: Mapping[str, DataFrame], rules: Mapping[str, Rules]) -> D
         parts += [
             _reference(name, df, c, tables[other], key) for c, (other, key) in rule.references.items()
         ]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 # Constraints declared on the warehouse tables.

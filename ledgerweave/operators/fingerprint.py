@@ -8,11 +8,12 @@ partitioning, so nothing is sorted or gathered.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerweave.operators.union import union_all
+
 # Columns that differ between two builds of the same data.
 VOLATILE = ("batch_id", "first_seen_at", "rejected_at", "run_at")
 
@@ -43,9 +44,8 @@ def fingerprints(
     tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]] | None = None
 ) -> DataFrame:
     chosen = columns or {}
-    return reduce(
-        DataFrame.unionByName,
-        [table_fingerprint(df, name, chosen.get(name)) for name, df in tables.items()],
+    return union_all(
+        table_fingerprint(df, name, chosen.get(name)) for name, df in tables.items()
     )
 
 

@@ -70,16 +70,17 @@ def dense_key(
 
 
 def repeated_groups(ws: Workspace, name: str, df: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Group keys held by more than one row."""
+    """Group keys held by more than one row, with their row count ``_n``."""
     return ws.table(
         f"{name}_repeated",
-        lambda: df.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > 1)
-        .select(*group),
+        lambda: df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1),
     )
 
 
+# Largest group that one task sorts. Larger ones are ranked across partitions.
+WINDOW_ROWS = 1_000_000
+
+
 def _position_in_group(
     ws: Workspace, name: str, rows: DataFrame, group: Sequence[str], order: Sequence[str], rank: str
 ) -> DataFrame:
@@ -94,8 +95,36 @@ def _position_in_group(
     )
 
 
+def _rank_repeated(
+    ws: Workspace,
+    name: str,
+    rows: DataFrame,
+    repeated: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    rank: str,
+    window_rows: int,
+) -> DataFrame:
+    """Ranks of the rows in repeated groups, the method chosen by measured group size."""
+    kept = join_null_safe(rows, repeated, group)
+    small = kept.where(F.col("_n") <= window_rows).select(
+        *rows.columns,
+        F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint").alias(rank),
+    )
+    if repeated.where(F.col("_n") > window_rows).isEmpty():
+        return small
+    large = kept.where(F.col("_n") > window_rows).select(*rows.columns)
+    return small.unionByName(_position_in_group(ws, name, large, group, order, rank))
+
+
 def rank_by_id(
-    ws: Workspace, name: str, df: DataFrame, group: Sequence[str], row_id: str, rank: str = "rn"
+    ws: Workspace,
+    name: str,
+    df: DataFrame,
+    group: Sequence[str],
+    row_id: str,
+    rank: str = "rn",
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """``row_number`` per group ordered by a unique id, safe for one huge group.
 
@@ -103,10 +132,12 @@ def rank_by_id(
     back through the unique id, so the wide rows never meet on the group key.
     """
     narrow = df.select(*group, row_id)
-    repeated = join_null_safe(narrow, repeated_groups(ws, name, narrow, group), group, "left_semi")
+    repeated = repeated_groups(ws, name, narrow, group)
     ranks = ws.table(
         f"{name}_ranks",
-        lambda: _position_in_group(ws, name, repeated, group, [row_id], rank).select(row_id, rank),
+        lambda: _rank_repeated(
+            ws, name, narrow, repeated, group, [row_id], rank, window_rows
+        ).select(row_id, rank),
     )
     return df.join(ranks, row_id, "left").select(
         *df.columns, F.coalesce(rank, F.lit(1)).cast("bigint").alias(rank)
@@ -114,13 +145,20 @@ def rank_by_id(
 
 
 def rank_rows(
-    ws: Workspace, name: str, df: DataFrame, group: Sequence[str], order: Sequence[str], rank: str = "rn"
+    ws: Workspace,
+    name: str,
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    rank: str = "rn",
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """``row_number`` per group for rows without an id of their own."""
-    flag = repeated_groups(ws, name, df, group).withColumn("_repeated", F.lit(True))
-    flagged = join_null_safe(df, flag, group, "left")
-    single = flagged.where(F.col("_repeated").isNull()).select(
+    repeated = repeated_groups(ws, name, df, group)
+    flagged = join_null_safe(df, repeated, group, "left")
+    single = flagged.where(F.col("_n").isNull()).select(
         *df.columns, F.lit(1).cast("bigint").alias(rank)
     )
-    several = flagged.where(F.col("_repeated")).select(*df.columns)
-    return single.unionByName(_position_in_group(ws, name, several, group, order, rank))
+    return single.unionByName(
+        _rank_repeated(ws, name, df, repeated, group, order, rank, window_rows)
+    )

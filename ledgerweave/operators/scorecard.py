@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerweave.operators.union import union_all
+
 
 @dataclass(frozen=True)
 class Check:
@@ -114,7 +116,7 @@ def observed_counts(tables: Mapping[str, DataFrame], checks: Iterable[Check]) ->
         row = tables[table].agg(*[m.cast("bigint").alias(n) for n, m in measures])
         parts.append(row.unpivot([], names, "check_name", "observed"))
     return (
-        reduce(DataFrame.unionByName, parts)
+        union_all(parts)
         .groupBy("check_name")
         .agg(F.sum("observed").cast("bigint").alias("observed_count"))
     )

@@ -7,14 +7,30 @@ and a shuffled join from measured bytes instead of from a hint.
 
 from __future__ import annotations
 
+import threading
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerweave.session import shared_folder
 
 
+T = TypeVar("T")
+
+# Jobs submitted at once; Spark shares the executors between them.
+CONCURRENT_JOBS = 8
+
+
+def in_parallel(actions: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent Spark actions side by side and return their results by name."""
+    with ThreadPoolExecutor(CONCURRENT_JOBS) as pool:
+        running = {name: pool.submit(action) for name, action in actions.items()}
+        return {name: job.result() for name, job in running.items()}
+
+
 class Workspace:
     """Names each intermediate table once and writes it on first use."""
 
@@ -23,6 +39,8 @@ class Workspace:
         base = (root or shared_folder(spark)).rstrip("/")
         self.root = f"{base}/{label}-{uuid.uuid4().hex}"
         self._tables: dict[str, DataFrame] = {}
+        self._names = threading.Lock()
+        self._building: dict[str, threading.Lock] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -33,16 +51,23 @@ class Workspace:
         build: Callable[[], DataFrame],
         partition_by: Sequence[str] = (),
     ) -> DataFrame:
-        """The table called ``name``, built and written if this is the first request."""
-        if name not in self._tables:
-            frame = build()
-            writer = frame.write.mode("errorifexists")
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
-            writer.parquet(self.path(name))
-            stored = self.spark.read.schema(frame.schema).parquet(self.path(name))
-            self._tables[name] = stored.select(*frame.columns)
-        return self._tables[name]
+        """The table called ``name``, built and written if this is the first request.
+
+        Threads that ask for a table under construction wait for it, so tables can
+        be requested side by side and order themselves by what they read.
+        """
+        with self._names:
+            own = self._building.setdefault(name, threading.Lock())
+        with own:
+            if name not in self._tables:
+                frame = build()
+                writer = frame.write.mode("errorifexists")
+                if partition_by:
+                    writer = writer.partitionBy(*partition_by)
+                writer.parquet(self.path(name))
+                stored = self.spark.read.schema(frame.schema).parquet(self.path(name))
+                self._tables[name] = stored.select(*frame.columns)
+            return self._tables[name]
 
     def names(self) -> list[str]:
         return sorted(self._tables)

@@ -17,8 +17,8 @@ from ledgerweave.operators.keys import dense_key, rank_by_id, rank_rows, repeate
 from ledgerweave.operators.workspace import Workspace
 from ledgerweave.plans import guards, inspection, loose, reports
 from ledgerweave.plans import source_checks as sc
-from ledgerweave.plans.publish import TABLES
 from ledgerweave.plans.shared import loose_warehouse, warehouse
+from ledgerweave.plans.warehouse import TABLES
 from ledgerweave.sources import bank_adapter as bank
 from ledgerweave.sources.files import export_csv, scan, scan_expected_identities, snapshot
 
@@ -506,7 +506,8 @@ def check_expected_identity(spark, sf_dir):
 
 
 def _fingerprint(wh) -> DataFrame:
-    return fingerprints({name: getattr(wh, name) for name in TABLES})
+    built = wh.build()
+    return fingerprints({name: built[name] for name in TABLES})
 
 
 strict("fingerprint", _fingerprint)

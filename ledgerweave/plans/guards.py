@@ -7,7 +7,6 @@ visible; ``assert_checks`` turns any FAIL into an error.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +15,8 @@ from ledgerweave.functions import differs, same
 from ledgerweave.operators import constraints
 from ledgerweave.operators import disposition as dp
 from ledgerweave.operators import identity as idn
+from ledgerweave.operators.union import union_all
+from ledgerweave.operators.workspace import in_parallel
 from ledgerweave.plans import reports
 from ledgerweave.plans.warehouse import Warehouse
 
@@ -38,10 +39,6 @@ def _money(c: Column | str) -> Column:
     return F.coalesce(F.sum(c), F.lit(0)).cast(MONEY)
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 def dimension_counts(wh: Warehouse) -> DataFrame:
     """Dimension sizes against the source rows they must cover."""
     owned = wh.stg["customer_account"].where(F.col("ownership_type") == "PRIMARY")
@@ -49,8 +46,8 @@ def dimension_counts(wh: Warehouse) -> DataFrame:
     def side(df: DataFrame, table: str, column: str) -> DataFrame:
         return df.agg(F.lit(table).alias("table_name"), _rows().alias(column))
 
-    built = _union([side(wh.dim_customer, "dim_customer", "observed_rows"), side(wh.dim_account, "dim_account", "observed_rows")])
-    wanted = _union([side(wh.stg["customer"], "dim_customer", "expected_rows"), side(owned, "dim_account", "expected_rows")])
+    built = union_all([side(wh.dim_customer, "dim_customer", "observed_rows"), side(wh.dim_account, "dim_account", "observed_rows")])
+    wanted = union_all([side(wh.stg["customer"], "dim_customer", "expected_rows"), side(owned, "dim_account", "expected_rows")])
     return built.join(wanted, "table_name").select(
         "table_name", "observed_rows", "expected_rows",
         verdict(F.col("observed_rows") == F.col("expected_rows")),
@@ -88,7 +85,7 @@ def load_totals(
             ),
         )
 
-    return _union(
+    return union_all(
         [of("fact_transaction", tx_decision, tx_fact, ("amount", "amount_aud"))]
         + [of(name, d, f, None) for name, (d, f) in others.items()]
     )
@@ -120,7 +117,7 @@ def event_rows_agree(wh: Warehouse) -> DataFrame:
             F.lit(name).alias("fact"), _rows().alias("compared_rows"), F.count_if(wrong).alias("mismatches")
         )
 
-    both = _union(
+    both = union_all(
         [
             of("fact_activity", wh.activity_decision, wh.activity_rows, "activity_id",
                [("customer_key", "customer_key"), ("activity_ts", "event_ts")]),
@@ -196,7 +193,7 @@ def missing_dimensions(wh: Warehouse) -> DataFrame:
                 F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("missing"),
             )
             parts.append(lost.select("*", verdict(F.col("missing") == 0)))
-    return _union(parts)
+    return union_all(parts)
 
 
 def account_identity(wh: Warehouse) -> DataFrame:
@@ -238,7 +235,7 @@ def channel_attribution(wh: Warehouse) -> DataFrame:
         "v_r3_channel_engagement": reports.channel_engagement(wh),
         "v_r4_service_case_summary": reports.case_summary(wh),
     }
-    return _union(
+    return union_all(
         [
             df.agg(
                 F.lit(name).alias("object_name"),
@@ -471,20 +468,22 @@ CHECKS = {
 }
 
 
-def run_checks(wh: Warehouse, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """(guard, failures) per check; constraints are read from ``tables`` if given."""
-    results = {name: check(wh) for name, check in CHECKS.items()}
-    results["constraints"] = table_constraints(tables) if tables else warehouse_constraints(wh)
-    return _union(
-        [
-            df.agg(F.lit(name).alias("guard"), F.count_if(F.col("result") != "PASS").alias("failures"))
-            for name, df in results.items()
-        ]
-    )
+def failures(wh: Warehouse, tables: Mapping[str, DataFrame] | None = None) -> dict[str, int]:
+    """Failed lines per check, checks running side by side; each brings back one number.
+
+    Constraints are read from ``tables`` if given, for instance a published batch.
+    """
+    checks = dict(CHECKS)
+    checks["constraints"] = lambda w: table_constraints(tables) if tables else warehouse_constraints(w)
+
+    def count(name: str) -> int:
+        return checks[name](wh).where(F.col("result") != "PASS").count()
+
+    return in_parallel({name: lambda name=name: count(name) for name in checks})
 
 
-def assert_checks(results: DataFrame) -> None:
-    """Raise if any guard failed. Collects one row per guard."""
-    failed = [r["guard"] for r in results.where(F.col("failures") > 0).collect()]
+def assert_checks(wh: Warehouse, tables: Mapping[str, DataFrame] | None = None) -> None:
+    """Raise if any check has a failed line."""
+    failed = sorted(name for name, n in failures(wh, tables).items() if n > 0)
     if failed:
-        raise CheckFailed("checks failed: " + ", ".join(sorted(failed)))
+        raise CheckFailed("checks failed: " + ", ".join(failed))

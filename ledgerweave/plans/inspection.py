@@ -3,22 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.operators.keys import repeated_groups
+from ledgerweave.operators.union import union_all
 from ledgerweave.plans import reports
 from ledgerweave.plans.warehouse import Warehouse
 
 MONEY = reports.MONEY
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 def row_counts(tables: Mapping[str, DataFrame], name: str = "source") -> DataFrame:
     return union_all(
         [df.agg(F.lit(t).alias(name), F.count(F.lit(1)).alias("rows")) for t, df in tables.items()]

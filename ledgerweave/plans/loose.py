@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ledgerweave.functions import date_key, date_spine, differs, map_value, quarter_columns
 from ledgerweave.operators import email_identity as em
 from ledgerweave.operators.keys import dense_key, ordered_rows, with_position
-from ledgerweave.operators.workspace import Workspace
+from ledgerweave.operators.union import union_all
+from ledgerweave.operators.workspace import Workspace, in_parallel
 from ledgerweave.plans import guards, reports
 
 MONEY = reports.MONEY
@@ -238,10 +239,7 @@ class LooseWarehouse:
             parts.append(count(source, step, "source_count"))
             parts.append(count(loaded, step, "loaded_count"))
         parts.append(count(rejected, "fact_transaction", "rejected_count"))
-        stacked = parts[0]
-        for part in parts[1:]:
-            stacked = stacked.unionByName(part, allowMissingColumns=True)
-        return stacked.groupBy("step").agg(
+        return union_all(parts, missing=True).groupBy("step").agg(
             *[
                 F.coalesce(F.max(c), F.lit(0)).alias(c)
                 for c in ("source_count", "loaded_count", "rejected_count")
@@ -249,6 +247,21 @@ class LooseWarehouse:
         )
 
 
+def fingerprint_tables(wh: LooseWarehouse) -> dict[str, DataFrame]:
+    """Every table of the batch, built side by side where they do not depend on each other."""
+    return in_parallel(
+        {
+            "dim_customer": lambda: wh.dim_customer,
+            "dim_account": lambda: wh.dim_account,
+            "customer_xref": lambda: wh.customer_xref,
+            "fact_transaction": lambda: wh.transaction_rows,
+            "fact_activity": lambda: wh.activity_rows,
+            "fact_service_case": lambda: wh.case_rows,
+            "rejected_record": lambda: wh.rejected_record,
+        }
+    )
+
+
 # --------------------------------------------------------------------- reports
 
 
@@ -340,7 +353,7 @@ def orphan_keys(wh: LooseWarehouse) -> DataFrame:
                     F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphans"),
                 )
             )
-    return guards._union(parts).select("*", guards.verdict(F.col("orphans") == 0))
+    return union_all(parts).select("*", guards.verdict(F.col("orphans") == 0))
 
 
 def duplicate_natural_keys(wh: LooseWarehouse) -> DataFrame:
@@ -357,7 +370,7 @@ def duplicate_natural_keys(wh: LooseWarehouse) -> DataFrame:
         )
         for name, (df, key) in tables.items()
     ]
-    return guards._union(parts).select("*", guards.verdict(F.col("duplicates") == 0))
+    return union_all(parts).select("*", guards.verdict(F.col("duplicates") == 0))
 
 
 def merged_names(wh: LooseWarehouse) -> DataFrame:
@@ -365,7 +378,7 @@ def merged_names(wh: LooseWarehouse) -> DataFrame:
 
     Names come from the sources; the warehouse's own name would agree with itself.
     """
-    named = guards._union(
+    named = union_all(
         [
             wh.src["customers"].select(
                 F.lit("S1").alias("source_system"), F.col("customer_id").alias("source_customer_id"),
@@ -432,7 +445,7 @@ def account_links_kept(wh: LooseWarehouse) -> DataFrame:
             F.count_if(F.col("_there").isNull()).alias("violations"),
         )
 
-    return guards._union(
+    return union_all(
         [
             linked,
             identity,
@@ -463,15 +476,3 @@ FINGERPRINT_COLUMNS = {
     ],
     "rejected_record": ["source_system", "source_table", "source_key", "reason"],
 }
-
-
-def fingerprint_tables(wh: LooseWarehouse) -> dict[str, DataFrame]:
-    return {
-        "dim_customer": wh.dim_customer,
-        "dim_account": wh.dim_account,
-        "customer_xref": wh.customer_xref,
-        "fact_transaction": wh.transaction_rows,
-        "fact_activity": wh.activity_rows,
-        "fact_service_case": wh.case_rows,
-        "rejected_record": wh.rejected_record,
-    }

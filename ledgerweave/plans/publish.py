@@ -14,15 +14,11 @@ from pyspark.sql import functions as F
 
 from ledgerweave.operators.audit import FAIL, PASS, RUNNING, AuditLog, latest_pass
 from ledgerweave.operators.fingerprint import compare_builds, fingerprints
-from ledgerweave.operators.workspace import Workspace
+from ledgerweave.operators.workspace import Workspace, in_parallel
 from ledgerweave.plans import guards, reports
-from ledgerweave.plans.warehouse import Warehouse
+from ledgerweave.plans.warehouse import TABLES, Warehouse
 from ledgerweave.sources.files import export_csv
 
-TABLES = [
-    "dim_customer", "dim_account", "dim_date", "dim_channel", "customer_xref",
-    "fact_transaction", "fact_activity", "fact_service_case", "rejected_record",
-]
 FACTS = ("fact_transaction", "fact_activity", "fact_service_case")
 
 
@@ -35,15 +31,17 @@ def write_batch(wh: Warehouse, path: str) -> None:
 
     Fact rows arrive in id order, so a task holds few months and writes few files.
     """
-    for name in TABLES:
-        df = getattr(wh, name)
-        writer = df.write.mode("errorifexists")
+
+    def write(name: str, df: DataFrame) -> None:
         if name in FACTS:
             month = F.floor(F.col("date_key") / 100).cast("int")
-            writer = df.withColumn("event_month", month).write.mode("errorifexists")
-            writer = writer.partitionBy("event_month")
-        writer.parquet(f"{path}/{name}")
-    wh.etl_run_log.write.mode("errorifexists").parquet(f"{path}/etl_run_log")
+            writer = df.withColumn("event_month", month).write.partitionBy("event_month")
+        else:
+            writer = df.write
+        writer.mode("errorifexists").parquet(f"{path}/{name}")
+
+    built = wh.build()
+    in_parallel({name: lambda name=name, df=df: write(name, df) for name, df in built.items()})
 
 
 def read_batch(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -70,7 +68,7 @@ def build_batch(
         write_batch(wh, batch_path(root, batch_id))
         audit.record_steps(wh.etl_run_log)
         written = read_batch(spark, batch_path(root, batch_id))
-        guards.assert_checks(guards.run_checks(wh, written))
+        guards.assert_checks(wh, written)
     except Exception as error:
         audit.record(batch_id, FAIL, str(error)[:500])
         raise

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerweave.operators.union import union_all
 from ledgerweave.plans.warehouse import Warehouse
 
 MONEY = "decimal(18,2)"
@@ -111,7 +112,7 @@ def case_summary(wh: Warehouse) -> DataFrame:
 
 def one_row(*frames: DataFrame) -> DataFrame:
     """Put one-row frames with different columns side by side, without a cross join."""
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    stacked = union_all(frames, missing=True)
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerweave.functions import id_number
 from ledgerweave.operators.scorecard import Check
+from ledgerweave.operators.union import union_all
 from ledgerweave.sources import bank_adapter as bank
 from ledgerweave.sources.schemas import CORE_SOURCES, OPTIONAL_COLUMNS, PRIMARY_KEYS
 
@@ -386,7 +386,7 @@ def derived_expectations(spark: SparkSession, sf_dir: str, names: set[str]) -> D
     if not parts:
         return None
     return (
-        reduce(DataFrame.unionByName, parts)
+        union_all(parts)
         .groupBy("check_name")
         .agg(F.sum("expected_count").cast("bigint").alias("expected_count"))
     )

@@ -16,9 +16,15 @@ from ledgerweave.functions import date_key, date_spine, quarter_columns
 from ledgerweave.operators import disposition as dp
 from ledgerweave.operators import identity as idn
 from ledgerweave.operators.keys import ordered_rows, with_position
-from ledgerweave.operators.workspace import Workspace
+from ledgerweave.operators.workspace import Workspace, in_parallel
 from ledgerweave.sources.files import Staged
 
+TABLES = [
+    "dim_customer", "dim_account", "dim_date", "dim_channel", "customer_xref",
+    "fact_transaction", "fact_activity", "fact_service_case", "rejected_record",
+]
+LOGS = ["etl_run_log"]
+
 EVENT_TIMES = {
     "payment_transaction": "transaction_ts",
     "activity": "activity_ts",
@@ -45,6 +51,10 @@ class Warehouse:
         rows = ordered_rows(self.ws, f"{name}_rows", df, order, partition_by)
         return with_position(self.ws, name, rows, key)
 
+    def build(self) -> dict[str, DataFrame]:
+        """Every table of the batch, built side by side where they do not depend on each other."""
+        return in_parallel({name: lambda name=name: getattr(self, name) for name in TABLES + LOGS})
+
     # ------------------------------------------------------------ dimensions
 
     @cached_property
