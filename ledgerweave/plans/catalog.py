@@ -263,12 +263,13 @@ BOUNDARY_ANCHORS = [
 BOUNDARY_PEOPLE = [
     ("B1", "test", "unique", None, " UNIQUE@EXAMPLE.TEST ", None),
     ("B2", "Test", "Unique", None, None, None),
-    ("B3", "Test", "Unique", "2000-01-01", "unique@example.test", None),
     ("B4", "Test", "Ambiguous", None, "shared@example.test", None),
     ("B5", "Changed", "name", "1990-01-01", None, "+61 400 000 001"),
     ("B6", "Test", "Unique", None, "   ", None),
     ("B7", "Unknown", "", None, None, None),
 ]
+# Shares name and e-mail with B1, so it comes from another source than B1.
+BOUNDARY_DIGITAL = [("B3", "Test", "Unique", "2000-01-01", "unique@example.test", None)]
 PAIR_ANCHORS = [
     ("TESTC1", "Unique", "Person", "1990-01-01", "unique.person@example.test", "0400111222"),
     ("TESTC2", "Duplicate", "Person", "1991-01-01", "duplicate.person@example.test", "0400111223"),
@@ -282,8 +283,10 @@ PAIR_PEOPLE = [
 _CASE = "first_name string, last_name string, dob string, email string, phone string"
 
 
-def with_test_people(wh, anchors: list[tuple], persons: list[tuple], label: str) -> DataFrame:
-    """Resolve the whole payment source with test people and test customers added to it."""
+def with_test_people(
+    wh, label: str, anchors: list[tuple], payers: list[tuple], users: list[tuple]
+) -> DataFrame:
+    """Resolve both whole sources with test people and test customers added to them."""
     spark = wh.spark
 
     def frame(rows: list[tuple], key: str) -> DataFrame:
@@ -291,17 +294,20 @@ def with_test_people(wh, anchors: list[tuple], persons: list[tuple], label: str)
             "date_of_birth", F.col("dob").cast("date")
         )
 
-    customers = wh.src["customer"].unionByName(
-        frame(anchors, "customer_id").drop("dob"), allowMissingColumns=True
-    )
-    core = idn.anchor_customers(customers)
+    def extended(source: str, rows: list[tuple], key: str) -> DataFrame:
+        return wh.src[source].unionByName(frame(rows, key).drop("dob"), allowMissingColumns=True)
+
+    core = idn.anchor_customers(extended("customer", anchors, "customer_id"))
     ws = Workspace(spark, label)
     keyed = ws.table("anchors", lambda: dense_key(ws, "anchor", core, ["core_customer_id"], "customer_key"))
-    payers = wh.src["payment_customer"].unionByName(
-        frame(persons, "payment_customer_id").drop("dob"), allowMissingColumns=True
+    people = idn.people(
+        extended("payment_customer", payers, "payment_customer_id"), "S2", "payment_customer_id"
+    ).unionByName(
+        idn.people(
+            extended("digital_customer", users, "digital_customer_id"), "S3", "digital_customer_id"
+        )
     )
-    people = idn.people(payers, "S2", "payment_customer_id")
-    found = idn.resolve(ws, label, keyed, people, ["S2"])
+    found = idn.resolve(ws, label, keyed, people, ["S2", "S3"])
     ids = keyed.select("customer_key", "core_customer_id")
     linked = found.where(F.col("customer_key").isNotNull()).join(ids, "customer_key")
     loose_ends = found.where(F.col("customer_key").isNull())
@@ -310,8 +316,11 @@ def with_test_people(wh, anchors: list[tuple], persons: list[tuple], label: str)
     )
 
 
-strict("identity_boundary_cases", lambda wh: with_test_people(wh, BOUNDARY_ANCHORS, BOUNDARY_PEOPLE, "boundary"))
-strict("identity_pair_cases", lambda wh: with_test_people(wh, PAIR_ANCHORS, PAIR_PEOPLE, "pairs"))
+strict(
+    "identity_boundary_cases",
+    lambda wh: with_test_people(wh, "boundary", BOUNDARY_ANCHORS, BOUNDARY_PEOPLE, BOUNDARY_DIGITAL),
+)
+strict("identity_pair_cases", lambda wh: with_test_people(wh, "pairs", PAIR_ANCHORS, PAIR_PEOPLE, []))
 
 # --------------------------------------------------------- dispositions and facts
 
