@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_DIR
 from ledgerweave.operators import disposition as dp
+from ledgerweave.operators import identity as idn
 from ledgerweave.operators.keys import ordered_rows
 from ledgerweave.operators.workspace import Workspace
 from ledgerweave.plans import reports
@@ -20,9 +21,13 @@ def tight(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.files.maxPartitionBytes": "64KB",
+        "spark.sql.files.openCostInBytes": "1KB",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
@@ -74,11 +79,36 @@ def test_hot_payer_is_split(spark, ws, tight):
     xref, accounts = lookups(spark, ws)
     tx = ws.table("tx", lambda: hot_transactions(spark, hot_ref=False))
     decided = dp.decide_transactions(ws, "r", tx, xref, accounts)
-    plan = executed_plan(decided)
-    assert "skew=true" in plan
+    joins = re.findall(r"SortMergeJoin\(skew=true\) \[(\w+)#", executed_plan(decided))
+    assert {"payment_customer_id", "account_id"} <= set(joins)
     assert decided.count() == 30_000
 
 
+def test_hot_contact_is_split(spark, ws, tight):
+    """A third of all source rows carry the same birth date and e-mail."""
+    i = F.col("id")
+    anchors = spark.range(500).select(
+        (i + 1).alias("customer_key"),
+        F.concat(F.lit("name "), i).alias("full_name"),
+        F.date_add(F.lit("1960-01-01").cast("date"), i.cast("int")).alias("date_of_birth"),
+        F.concat(i, F.lit("@x")).alias("email"),
+        F.lit(None).cast("string").alias("phone"),
+    )
+    who = F.when(i % 3 == 0, 0).otherwise(i % 500)
+    people = spark.range(0, 30_000, 1, 8).select(
+        F.lit("S2").alias("source_system"),
+        bank.prefixed("P", i).alias("source_customer_id"),
+        F.concat(F.lit("name "), i).alias("name"),
+        F.date_add(F.lit("1960-01-01").cast("date"), who.cast("int")).alias("dob"),
+        F.concat(who, F.lit("@x")).alias("email"),
+        F.lit(None).cast("string").alias("phone"),
+    )
+    people = ws.table("people", lambda: people)
+    found = idn.resolve(ws, "id", anchors, people, ["S2"])
+    assert "SortMergeJoin(skew=true) [kind" in executed_plan(found)
+    assert found.where("match_status = 'matched' and customer_key = 1").count() >= 10_000
+
+
 def test_hot_reference_is_ranked_exactly(spark, ws, tight):
     xref, accounts = lookups(spark, ws)
     tx = ws.table("tx", lambda: hot_transactions(spark, hot_ref=True))
