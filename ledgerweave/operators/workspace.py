@@ -69,5 +69,11 @@ class Workspace:
                 self._tables[name] = stored.select(*frame.columns)
             return self._tables[name]
 
+    def release(self) -> None:
+        """Remove the written tables, for instance once their batch is published."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._tables.clear()
+
     def names(self) -> list[str]:
         return sorted(self._tables)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -31,13 +32,17 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may fall back to a folder of its own; on a cluster the
     setting is required, because a machine-local path dies with its machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
         "spark.checkpoint.dir"
     )
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="ledgerweave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(context.applicationId)
+
+
+@cache
+def _local_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"ledgerweave-{application_id}-")

@@ -1,6 +1,7 @@
 """Plans and hot groups: what must hold when one key carries a third of all rows."""
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from ledgerweave.operators.keys import ordered_rows
 from ledgerweave.operators.workspace import Workspace
 from ledgerweave.plans import reports
 from ledgerweave.plans.shared import warehouse
+from ledgerweave.session import shared_folder
 from ledgerweave.sources import bank_adapter as bank
 
 
@@ -155,5 +157,12 @@ def test_no_python_in_the_plans(spark):
 
 
 def test_shared_folder_is_the_configured_one(spark, ws):
-    folder = spark.conf.get("spark.checkpoint.dir")
+    folder = shared_folder(spark)
+    assert folder == spark.conf.get("spark.checkpoint.dir", folder)
     assert ws.root.startswith(folder.rstrip("/"))
+
+
+def test_released_workspace_is_gone(spark, ws):
+    ws.table("t", lambda: spark.range(3).toDF("v"))
+    ws.release()
+    assert not Path(ws.root).exists() and ws.names() == []
