@@ -15,6 +15,7 @@ from ledgerweave.operators.union import union_all
 from ledgerweave.plans.warehouse import Warehouse
 
 MONEY = "decimal(18,2)"
+FACT_ROWS = ("transaction_rows", "activity_rows", "case_rows")
 
 
 def _rows() -> Column:
@@ -31,6 +32,7 @@ def _zero(c: str, dtype: str = "bigint") -> Column:
 
 def customer_360(wh: Warehouse) -> DataFrame:
     """One row per customer: accounts, transactions, activities and cases."""
+    wh.ready("dim_account", *FACT_ROWS)
     accounts = wh.dim_account.groupBy("customer_key").agg(_rows().alias("accounts"))
     tx = wh.transaction_rows.groupBy("customer_key").agg(
         _rows().alias("transactions"), _money("amount_aud").alias("amount_aud")
@@ -118,6 +120,7 @@ def one_row(*frames: DataFrame) -> DataFrame:
 
 def data_quality_kpi(wh: Warehouse) -> DataFrame:
     """Twelve metrics, one aggregate per table."""
+    wh.ready("dim_account", "reject_rows", *FACT_ROWS)
     status = F.col("match_status")
     xref = wh.xref_rows.agg(
         _rows().alias("xref_rows"),
@@ -168,6 +171,7 @@ def attribution(tx: DataFrame, activity: DataFrame, case: DataFrame) -> DataFram
 
 
 def attribution_report(wh: Warehouse) -> DataFrame:
+    wh.ready(*FACT_ROWS)
     return attribution(wh.transaction_rows, wh.activity_rows, wh.case_rows)
 
 

@@ -51,9 +51,13 @@ class Warehouse:
         rows = ordered_rows(self.ws, f"{name}_rows", df, order, partition_by)
         return with_position(self.ws, name, rows, key)
 
+    def ready(self, *names: str) -> dict[str, DataFrame]:
+        """The named tables, built side by side where they do not depend on each other."""
+        return in_parallel({name: lambda name=name: getattr(self, name) for name in names})
+
     def build(self) -> dict[str, DataFrame]:
-        """Every table of the batch, built side by side where they do not depend on each other."""
-        return in_parallel({name: lambda name=name: getattr(self, name) for name in TABLES + LOGS})
+        """Every table of the batch."""
+        return self.ready(*TABLES, *LOGS)
 
     # ------------------------------------------------------------ dimensions
 
