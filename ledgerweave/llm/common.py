@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import re
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,21 +14,31 @@ from pyspark.sql import functions as F
 
 from ledgerweave.session import shared_folder
 
-# Words are runs of anything but the six ASCII blanks; only A-Z is lower-cased.
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_BLANKS = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
-_LOWER = {c: c + 32 for c in range(65, 91)}
-_FOLD = {**_BLANKS, **_LOWER}
 
+def words_of(text: str | None) -> list[bytes]:
+    """Words of a text in UTF-8, A-Z in lower case; null has none.
 
-def words_of(text: str | None) -> list[str]:
-    """Words of a text with A-Z in lower case; null has none."""
-    if not text:
-        return []
-    if text.isascii():
-        text = text.lower()
-        return [w for w in text.translate(_BLANKS).split(" ") if w]
-    return [w for w in text.translate(_FOLD).split(" ") if w]
+    A word is a run of anything but the six ASCII blanks, which is what ``bytes.split``
+    cuts at; ``bytes.lower`` touches A-Z alone.
+    """
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, which may not have it installed."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="ledgerweave-")) / "ledgerweave_modules.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(package.rglob("*.py")):
+            out.write(module, module.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
 
 
 class Scratch:
@@ -105,4 +117,4 @@ def bucket_of(key: Column, borders: list[int]) -> Column:
 
 def input_bytes(docs: DataFrame) -> int:
     """Catalyst's size estimate of the input, to choose a number of partitions from."""
-    return int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

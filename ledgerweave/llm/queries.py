@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import chat_log
+from ledgerweave.llm import chat_log, language_id, token_files
+from ledgerweave.llm.common import Scratch, ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -57,8 +59,37 @@ SELECT conv_id, count(*) AS n_turns,
 FROM f GROUP BY conv_id
 """
 
+def word_bpe_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def crc_share(key: str, modulus: int) -> Column:
+    """crc32 of the id's text, modulo ``modulus``: the folds of the learned queries."""
+    return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(modulus))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode all documents into token files and read them back."""
+    scratch = Scratch(spark, "op8")
+    manifest = token_files.write(table(spark, sf_dir, "documents"), scratch, word_bpe_path)
+    return token_files.read(scratch, manifest)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on two thirds of the ids, predicted for all."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(crc_share("doc_id", 3) != 1))
+    return language_id.predict(docs, model).select(
+        "doc_id", (crc_share("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES = {
     "op2_chat_formatting": op2_chat_formatting,
+    "op8_token_files": op8_token_files,
+    "op10_language_id": op10_language_id,
 }
 ORACLE = {
     "op2_chat_formatting": OP2_SQL,
