@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import chat_log, language_id, token_files
+from ledgerweave.llm import chat_log, context_tree, language_id, lsh_forest, token_files
 from ledgerweave.llm.common import Scratch, ship
 
 
@@ -70,6 +70,16 @@ def crc_share(key: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(modulus))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree scores beside those of a word model, learned from four fifths of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "text", (crc_share("doc_id", 5) != 1).alias("learn"))
+    return context_tree.score(docs, "learn").select(
+        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score",
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents into token files and read them back."""
     scratch = Scratch(spark, "op8")
@@ -77,6 +87,34 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(scratch, manifest)
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose 3-word shingles have a similarity of 0.85 or more."""
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+OP9_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'),
+    lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1),
+      lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM sets UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, len(s.s) AS n_shingles, min(r.b) AS component_id,
+  s.doc_id = min(r.b) AS kept
+FROM sets s JOIN reach r ON s.doc_id = r.a GROUP BY s.doc_id, len(s.s)
+"""
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitted on two thirds of the ids, predicted for all."""
     docs = table(spark, sf_dir, "documents")
@@ -88,9 +126,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_chat_formatting": op2_chat_formatting,
+    "op5_lm_scoring": op5_lm_scoring,
     "op8_token_files": op8_token_files,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
 }
 ORACLE = {
     "op2_chat_formatting": OP2_SQL,
+    "op9_near_duplicates": OP9_SQL,
 }
