@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import chat_log, context_tree, language_id, lsh_forest, token_files
+from ledgerweave.llm import chat_log, context_tree, language_id, lexicon_print, lsh_forest, token_files
 from ledgerweave.llm.common import Scratch, ship
 
 
@@ -80,6 +80,11 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_lexicon_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and of their edited texts."""
+    return lexicon_print.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents into token files and read them back."""
     scratch = Scratch(spark, "op8")
@@ -95,7 +100,8 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'),
     lambda x: x <> '') AS w FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
@@ -127,6 +133,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_chat_formatting": op2_chat_formatting,
     "op5_lm_scoring": op5_lm_scoring,
+    "op7_lexicon_fingerprints": op7_lexicon_fingerprints,
     "op8_token_files": op8_token_files,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
