@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import chat_log, context_tree, language_id, lexicon_print, lsh_forest, token_files
+from ledgerweave.llm import chat_log, context_tree, language_id, lexicon_print, lsh_forest, site_style, token_files
 from ledgerweave.llm.common import Scratch, ship
 
 
@@ -70,6 +70,12 @@ def crc_share(key: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(modulus))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = site_style.extract(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Context-tree scores beside those of a word model, learned from four fifths of the ids."""
     docs = table(spark, sf_dir, "documents")
@@ -132,6 +138,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_chat_formatting": op2_chat_formatting,
+    "op3_html_extraction": op3_html_extraction,
     "op5_lm_scoring": op5_lm_scoring,
     "op7_lexicon_fingerprints": op7_lexicon_fingerprints,
     "op8_token_files": op8_token_files,
