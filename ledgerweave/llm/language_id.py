@@ -198,3 +198,16 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
         work, f"`{key}` bigint, lang_pred string, score double"
     )
+
+
+def keep_known(docs: DataFrame, model: Model, least_score: float, text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text has no language or a score below ``least_score``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches):
+        scorer = _Scorer(shared.value)
+        for batch in batches:
+            found = [scorer.predict(t) for t in batch.column(text).to_pylist()]
+            yield batch.filter(pa.array([n != UNKNOWN and s >= least_score for n, s in found]))
+
+    return docs.mapInArrow(work, docs.schema)

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerweave.llm import chat_log, context_tree, language_id, lexicon_print, lsh_forest, site_style, token_files
+from ledgerweave.llm import (
+    chat_log,
+    context_tree,
+    language_id,
+    lexicon_print,
+    lsh_forest,
+    piece_viterbi,
+    site_style,
+    string_tiling,
+    token_files,
+    token_rollup,
+)
 from ledgerweave.llm.common import Scratch, ship
 
 
@@ -14,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold at least half of a benchmark item, in any order of its parts."""
+    return string_tiling.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and the control-string case, digested from the rendered output."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -76,6 +92,51 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def byte_bpe_ranks() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def multi_bpe_ranks() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+TOKENIZERS = {"byte_bpe_50k": byte_bpe_ranks, "byte_bpe_multi_50k": multi_bpe_ranks}
+
+
+def op4_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three batches over all documents, the last one sent twice.
+
+    Documents arrive with a rough count (a quarter of their characters), are revised to their
+    real counts, and exact copies are deleted again, all but the one with the smallest id.
+    """
+    docs = table(spark, sf_dir, "documents")
+    scratch = Scratch(spark, "op4")
+    counted = scratch.write("counted", token_rollup.count_tokens(docs, TOKENIZERS))
+    rough = F.floor(F.coalesce(F.char_length("text"), F.lit(0)) / 4)
+    arrived = docs.select("source", "lang", F.array(*(
+        F.struct(F.lit(n).alias("tokenizer"), rough.alias("tokens")) for n in TOKENIZERS
+    )).alias("counts"))
+    roughly = docs.select(F.col("doc_id").alias("id"), rough.alias("old"))
+    marks = docs.select(
+        F.col("doc_id").alias("id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("mark")
+    )
+    first = marks.groupBy("mark").agg(F.min("id").alias("first"))
+    copies = marks.join(first, "mark").where("id <> first").select("id")
+    rollup = token_rollup.Rollup(spark, scratch.path("rollup"))
+    rollup.commit("arrived", token_rollup.changes(arrived, "insert"))
+    revised = counted.join(roughly, "id")
+    rollup.commit("revised", token_rollup.changes(revised, "revise", "old"))
+    gone = token_rollup.changes(counted.join(copies, "id", "left_semi"), "delete")
+    rollup.commit("copies", gone)
+    rollup.commit("copies", gone)
+    scratch.drop("counted")
+    return rollup.totals()
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Context-tree scores beside those of a word model, learned from four fifths of the ids."""
     docs = table(spark, sf_dir, "documents")
@@ -86,6 +147,17 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of all documents, and whether they decode to the text."""
+    return piece_viterbi.encode(table(spark, sf_dir, "documents"), piece_model)
+
+
 def op7_lexicon_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all texts and of their edited texts."""
     return lexicon_print.compare_with_edits(table(spark, sf_dir, "documents"))
@@ -137,9 +209,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_html_extraction": op3_html_extraction,
+    "op4_token_rollup": op4_token_rollup,
     "op5_lm_scoring": op5_lm_scoring,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_lexicon_fingerprints": op7_lexicon_fingerprints,
     "op8_token_files": op8_token_files,
     "op9_near_duplicates": op9_near_duplicates,
