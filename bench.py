@@ -22,7 +22,7 @@ from ledgerweave.plans.shared import warehouse
 from ledgerweave.plans.warehouse import Warehouse
 from ledgerweave.session import local_session
 from ledgerweave.sources.bank_adapter import bank_sources
-from ledgerweave.sources.loose_adapter import CALENDAR, loose_sources
+from ledgerweave.sources.loose_adapter import loose_sources
 
 REPORT_QUERIES = [
     "r1_customer_360", "r2_tx_by_date_channel", "r2b_tx_by_channel", "r3_channel_engagement",
@@ -54,7 +54,7 @@ def main() -> None:
         wh.build()
 
     def loose_build() -> None:
-        wh = LooseWarehouse(spark, loose_sources(spark, sf_dir), CALENDAR, Workspace(spark, "bench"))
+        wh = LooseWarehouse(spark, loose_sources(spark, sf_dir), Workspace(spark, "bench"))
         fingerprint_tables(wh)
         run(wh.run_log)
 

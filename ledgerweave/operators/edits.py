@@ -8,10 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def update_rows(df: DataFrame, edits: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Set ``columns`` from the edit row of the same key. An edit may set NULL."""
-    renamed = edits.select(
-        *key, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_edited")
+def update_rows(
+    df: DataFrame,
+    edits: DataFrame,
+    key: Sequence[str],
+    columns: Sequence[str],
+    order: Sequence[str] = (),
+) -> DataFrame:
+    """Set ``columns`` from the edit row of the same key. An edit may set NULL.
+
+    Of several edits for one key the last one by ``order`` counts, then the one with the
+    larger values, so no edit can multiply a row.
+    """
+    last = edits.groupBy(*key).agg(F.max(F.struct(*order, *columns)).alias("_edit"))
+    renamed = last.select(
+        *key, *[F.col("_edit")[c].alias(f"_new_{c}") for c in columns], F.lit(True).alias("_edited")
     )
     joined = df.join(renamed, list(key), "left")
     return joined.select(

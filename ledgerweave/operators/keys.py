@@ -77,10 +77,6 @@ def repeated_groups(ws: Workspace, name: str, df: DataFrame, group: Sequence[str
     )
 
 
-# Largest group that one task sorts. Larger ones are ranked across partitions.
-WINDOW_ROWS = 1_000_000
-
-
 def _position_in_group(
     ws: Workspace, name: str, rows: DataFrame, group: Sequence[str], order: Sequence[str], rank: str
 ) -> DataFrame:
@@ -95,36 +91,8 @@ def _position_in_group(
     )
 
 
-def _rank_repeated(
-    ws: Workspace,
-    name: str,
-    rows: DataFrame,
-    repeated: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    rank: str,
-    window_rows: int,
-) -> DataFrame:
-    """Ranks of the rows in repeated groups, the method chosen by measured group size."""
-    kept = join_null_safe(rows, repeated, group)
-    small = kept.where(F.col("_n") <= window_rows).select(
-        *rows.columns,
-        F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint").alias(rank),
-    )
-    if repeated.where(F.col("_n") > window_rows).isEmpty():
-        return small
-    large = kept.where(F.col("_n") > window_rows).select(*rows.columns)
-    return small.unionByName(_position_in_group(ws, name, large, group, order, rank))
-
-
 def rank_by_id(
-    ws: Workspace,
-    name: str,
-    df: DataFrame,
-    group: Sequence[str],
-    row_id: str,
-    rank: str = "rn",
-    window_rows: int = WINDOW_ROWS,
+    ws: Workspace, name: str, df: DataFrame, group: Sequence[str], row_id: str, rank: str = "rn"
 ) -> DataFrame:
     """``row_number`` per group ordered by a unique id, safe for one huge group.
 
@@ -133,11 +101,10 @@ def rank_by_id(
     """
     narrow = df.select(*group, row_id)
     repeated = repeated_groups(ws, name, narrow, group)
+    kept = join_null_safe(narrow, repeated, group).select(*narrow.columns)
     ranks = ws.table(
         f"{name}_ranks",
-        lambda: _rank_repeated(
-            ws, name, narrow, repeated, group, [row_id], rank, window_rows
-        ).select(row_id, rank),
+        lambda: _position_in_group(ws, name, kept, group, [row_id], rank).select(row_id, rank),
     )
     return df.join(ranks, row_id, "left").select(
         *df.columns, F.coalesce(rank, F.lit(1)).cast("bigint").alias(rank)
@@ -151,7 +118,6 @@ def rank_rows(
     group: Sequence[str],
     order: Sequence[str],
     rank: str = "rn",
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """``row_number`` per group for rows without an id of their own."""
     repeated = repeated_groups(ws, name, df, group)
@@ -159,6 +125,5 @@ def rank_rows(
     single = flagged.where(F.col("_n").isNull()).select(
         *df.columns, F.lit(1).cast("bigint").alias(rank)
     )
-    return single.unionByName(
-        _rank_repeated(ws, name, df, repeated, group, order, rank, window_rows)
-    )
+    several = join_null_safe(df, repeated, group).select(*df.columns)
+    return single.unionByName(_position_in_group(ws, name, several, group, order, rank))

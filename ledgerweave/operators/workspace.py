@@ -32,18 +32,38 @@ def in_parallel(actions: Mapping[str, Callable[[], T]]) -> dict[str, T]:
 
 
 class Workspace:
-    """Names each intermediate table once and writes it on first use."""
+    """Names each intermediate table once and writes it on first use.
+
+    What is still there when the session ends is removed with it; ``release`` removes
+    it earlier.
+    """
 
     def __init__(self, spark: SparkSession, label: str = "work", root: str | None = None):
         self.spark = spark
         base = (root or shared_folder(spark)).rstrip("/")
         self.root = f"{base}/{label}-{uuid.uuid4().hex}"
         self._tables: dict[str, DataFrame] = {}
+        self._attempts: dict[str, int] = {}
+        self._started = False
         self._names = threading.Lock()
         self._building: dict[str, threading.Lock] = {}
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        """Folder of a table; a table whose write failed gets a new one."""
+        failed = self._attempts.get(name, 0)
+        return f"{self.root}/{name}.retry{failed}" if failed else f"{self.root}/{name}"
+
+    def _root(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _start(self) -> None:
+        with self._names:
+            if not self._started:
+                path, files = self._root()
+                files.mkdirs(path)
+                files.deleteOnExit(path)
+                self._started = True
 
     def table(
         self,
@@ -61,18 +81,23 @@ class Workspace:
         with own:
             if name not in self._tables:
                 frame = build()
+                self._start()
                 writer = frame.write.mode("errorifexists")
                 if partition_by:
                     writer = writer.partitionBy(*partition_by)
-                writer.parquet(self.path(name))
+                try:
+                    writer.parquet(self.path(name))
+                except Exception:
+                    self._attempts[name] = self._attempts.get(name, 0) + 1
+                    raise
                 stored = self.spark.read.schema(frame.schema).parquet(self.path(name))
                 self._tables[name] = stored.select(*frame.columns)
             return self._tables[name]
 
     def release(self) -> None:
         """Remove the written tables, for instance once their batch is published."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        path, files = self._root()
+        files.delete(path, True)
         self._tables.clear()
 
     def names(self) -> list[str]:

@@ -15,10 +15,11 @@ from ledgerweave.functions import differs, same
 from ledgerweave.operators import constraints
 from ledgerweave.operators import disposition as dp
 from ledgerweave.operators import identity as idn
+from ledgerweave.operators.fingerprint import fingerprints
 from ledgerweave.operators.union import union_all
 from ledgerweave.operators.workspace import in_parallel
 from ledgerweave.plans import reports
-from ledgerweave.plans.warehouse import Warehouse
+from ledgerweave.plans.warehouse import BatchTables, Warehouse
 
 MONEY = reports.MONEY
 
@@ -275,8 +276,46 @@ def fanout_totals(wh: Warehouse) -> DataFrame:
     return right.unionByName(wrong)
 
 
+# The controlled case, two payments and three activities of one customer.
+CONTROL_KEY = -99
+CONTROL_AMOUNTS, CONTROL_ACTIVITIES = ("100.00", "50.00"), 3
+CONTROL_RIGHT, CONTROL_WRONG = 150, 450
+
+
+def fanout_guard(wh: Warehouse) -> DataFrame:
+    """The multiplied total is known where the case is controlled, and no report has it.
+
+    The controlled customer is added to the warehouse's own facts, so both lines run through
+    the same aggregation.
+    """
+    spark, per = wh.spark, "customer_key"
+    paid = spark.createDataFrame([(CONTROL_KEY, a) for a in CONTROL_AMOUNTS], f"{per} bigint, amount string")
+    acts = spark.createDataFrame([(CONTROL_KEY,)] * CONTROL_ACTIVITIES, f"{per} bigint")
+    tx = wh.transaction_rows.select(per, F.col("amount_aud").alias("amount")).unionByName(
+        paid.select(per, F.col("amount").cast("decimal(12,2)"))
+    )
+    totals = tx.where(F.col(per).isNotNull()).groupBy(per).agg(F.sum("amount").cast(MONEY).alias("amount"))
+    copies = wh.activity_rows.select(per).unionByName(acts).groupBy(per).agg(_rows().alias("a"))
+    control = F.col(per) == CONTROL_KEY
+    case = F.when(control, F.lit("controlled")).otherwise(F.lit("warehouse")).alias("case_name")
+    wide = "decimal(38,2)"
+    both = totals.join(copies, per, "left").groupBy(case).agg(
+        F.sum("amount").cast(wide).alias("right_total"),
+        F.coalesce(F.sum(F.col("amount") * F.col("a").cast("decimal(18,0)")), F.lit(0)).cast(wide).alias("wrong_total"),
+    )
+    reported = reports.customer_360(wh).agg(F.sum("amount_aud").cast(wide)).scalar()
+    known = F.col("case_name") == "controlled"
+    return both.withColumn("reported_total", F.when(~known, reported)).select(
+        "*",
+        verdict(
+            F.when(known, (F.col("right_total") == CONTROL_RIGHT) & (F.col("wrong_total") == CONTROL_WRONG))
+            .otherwise(F.col("right_total") == F.col("reported_total"))
+        ),
+    )
+
+
 def report_totals(wh: Warehouse) -> DataFrame:
-    """Report totals equal the facts they summarise."""
+    """Report totals equal the facts they summarise."""
     r1 = reports.customer_360(wh).agg(
         _money("amount_aud").alias("R1 amount"),
         _money("digital_activities").alias("R1 activities"),
@@ -362,6 +401,35 @@ def identity_status(xref: DataFrame) -> DataFrame:
     ).select("*", verdict(F.col("conflicts") == 0))
 
 
+def rejects_agree(wh: Warehouse) -> DataFrame:
+    """Recorded rejects against the reject decisions, row by row, both ways."""
+    key = ["source_table", "source_key"]
+    wanted = dp.rejects(*wh.decisions).select(
+        *key, F.struct("reason", "amount_aud").alias("want"), F.lit(True).alias("_decided")
+    )
+    found = wh.reject_rows.select(
+        *key, F.struct("reason", "amount_aud").alias("got"), F.lit(True).alias("_recorded")
+    )
+    lost, extra = F.col("_recorded").isNull(), F.col("_decided").isNull()
+    wrong = lost | extra | ~F.col("want").eqNullSafe(F.col("got"))
+    return wanted.join(found, key, "full_outer").groupBy("source_table").agg(
+        _rows().alias("compared_rows"), F.count_if(wrong).alias("mismatches")
+    ).select("*", verdict(F.col("mismatches") == 0))
+
+
+def same_content(built: Mapping[str, DataFrame], written: Mapping[str, DataFrame]) -> DataFrame:
+    """Whether each published table holds exactly the rows that were built."""
+    a = fingerprints(dict(built)).alias("a")
+    b = fingerprints({name: written[name] for name in built}).alias("b")
+    equal = F.lit(True)
+    for c in ("rows", "hash_a", "hash_b"):
+        equal = equal & same(F.col(f"a.{c}"), F.col(f"b.{c}"))
+    return a.join(b, F.col("a.table_name") == F.col("b.table_name")).select(
+        "a.table_name", F.col("a.rows").alias("built_rows"), F.col("b.rows").alias("written_rows"),
+        verdict(equal),
+    )
+
+
 def expected_rejects(rejects: DataFrame, expected: DataFrame) -> DataFrame:
     """Expected rejects against actual ones: found, missing and additional, per reason."""
     key = ["source_table", "source_key", "reason"]
@@ -372,13 +440,14 @@ def expected_rejects(rejects: DataFrame, expected: DataFrame) -> DataFrame:
         F.count_if(wanted & found).alias("found"),
         F.count_if(wanted & ~found).alias("missing"),
         F.count_if(found & ~wanted).alias("additional"),
-    )
+    ).select("*", verdict(F.col("missing") + F.col("additional") == 0))
 
 
 def expected_identity(xref: DataFrame, anchors: DataFrame, expected: DataFrame) -> DataFrame:
     """Expected against resolved identity, per system and expected status.
 
-    ``expected`` has source_system, source_id, core_id, status.
+    ``expected`` has source_system, source_id, core_id, status. Identities that nobody
+    expected are a line of their own per system, with the status ``unexpected``.
     """
     ids = anchors.select("customer_key", "core_customer_id")
     x = xref.select(
@@ -387,7 +456,10 @@ def expected_identity(xref: DataFrame, anchors: DataFrame, expected: DataFrame)
     known = x.where(F.col("customer_key").isNotNull()).join(ids, "customer_key", "left")
     unknown = x.where(F.col("customer_key").isNull())
     resolved = known.unionByName(unknown, allowMissingColumns=True)
-    joined = expected.join(resolved, ["source_system", "source_id"], "left")
+    named = expected.withColumn("_named", F.lit(True))
+    joined = named.join(resolved, ["source_system", "source_id"], "full_outer").withColumn(
+        "status", F.when(F.col("_named"), F.col("status")).otherwise("unexpected")
+    )
     wanted = F.col("status") == idn.MATCHED
     wrong = (
         F.col("match_status").isNull()
@@ -465,25 +537,36 @@ CHECKS = {
     "T12 unresolved visibility": unresolved_visible,
     "T13 attribution totals": lambda wh: attribution_balance(reports.attribution_report(wh)),
     "identity status": lambda wh: identity_status(wh.xref_rows),
+    "rejects agree": rejects_agree,
+    "controlled fan-out": fanout_guard,
+    "constraints": lambda wh: warehouse_constraints(wh),
 }
 
 
 def failures(wh: Warehouse, tables: Mapping[str, DataFrame] | None = None) -> dict[str, int]:
     """Failed lines per check, checks running side by side; each brings back one number.
 
-    Constraints are read from ``tables`` if given, for instance a published batch.
+    With ``tables``, for instance a published batch, every check reads those instead of the
+    warehouse's own; sources and decisions stay the ones they are held against.
     """
     checks = dict(CHECKS)
-    checks["constraints"] = lambda w: table_constraints(tables) if tables else warehouse_constraints(w)
+    seen = wh
+    if tables is not None:
+        seen = BatchTables(wh.spark, tables, wh)
+        checks["published equals built"] = lambda _: same_content(wh.build(), tables)
 
     def count(name: str) -> int:
-        return checks[name](wh).where(F.col("result") != "PASS").count()
+        return checks[name](seen).where(F.col("result") != "PASS").count()
 
     return in_parallel({name: lambda name=name: count(name) for name in checks})
 
 
-def assert_checks(wh: Warehouse, tables: Mapping[str, DataFrame] | None = None) -> None:
+def raise_failed(counts: Mapping[str, int]) -> None:
     """Raise if any check has a failed line."""
-    failed = sorted(name for name, n in failures(wh, tables).items() if n > 0)
+    failed = sorted(name for name, n in counts.items() if n > 0)
     if failed:
         raise CheckFailed("checks failed: " + ", ".join(failed))
+
+
+def assert_checks(wh: Warehouse, tables: Mapping[str, DataFrame] | None = None) -> None:
+    raise_failed(failures(wh, tables))

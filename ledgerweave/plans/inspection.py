@@ -133,16 +133,31 @@ def overview(wh: Warehouse) -> DataFrame:
     return counts.unionByName(amount)
 
 
+def scan_roots(df: DataFrame) -> set[str]:
+    """Root folders of all file scans in the plan of ``df``."""
+    roots = set()
+    scans = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    while scans.hasNext():
+        leaf = scans.next()
+        if "LogicalRelation" in leaf.getClass().getName():
+            relation = leaf.relation()
+            if "HadoopFsRelation" in relation.getClass().getName():
+                found = relation.location().rootPaths().iterator()
+                while found.hasNext():
+                    roots.add(str(found.next().toString()))
+    return roots
+
+
 def report_lineage(wh: Warehouse) -> DataFrame:
     """Which written warehouse tables each report reads, with their sizes.
 
-    The files come from each report's plan, so a report that bypasses the
-    warehouse shows up as a path outside its root.
+    The folders come from the scans of each report's plan, one per table however many files
+    it has; a report that bypasses the warehouse shows up as a path outside its root.
     """
     marker = wh.ws.root.split("/")[-1]
     pairs = set()
     for name, report in reports.REPORTS.items():
-        for path in report(wh).inputFiles():
+        for path in scan_roots(report(wh)):
             inside = f"/{marker}/" in path
             table = path.split(f"/{marker}/")[1].split("/")[0] if inside else "outside:" + path
             pairs.add((name, table))

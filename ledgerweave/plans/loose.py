@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerweave.functions import date_key, date_spine, differs, map_value, quarter_columns
@@ -17,6 +17,9 @@ from ledgerweave.plans import guards, reports
 
 MONEY = reports.MONEY
 SETTLED = "SETTLED"
+EVENT_DAYS = {
+    "transactions": "txn_date", "digital_activity": "activity_date", "service_cases": "opened_date",
+}
 
 # Channel names and reject reasons.
 CHANNEL_NAMES = {
@@ -35,12 +38,10 @@ class LooseWarehouse:
         self,
         spark: SparkSession,
         sources: Mapping[str, DataFrame],
-        calendar: tuple[str, str] = ("2026-08-01", "2026-08-31"),
         workspace: Workspace | None = None,
     ):
         self.spark = spark
         self.src = sources
-        self.calendar = calendar
         self.ws = workspace or Workspace(spark, "loose")
 
     # ------------------------------------------------------------ dimensions
@@ -65,25 +66,26 @@ class LooseWarehouse:
                 .union(self.src["digital_activity"].select("channel"))
                 .distinct()
             )
-            # One row per channel code, so the unpartitioned order is bounded by the code list.
-            return codes.select(
-                F.row_number().over(Window.orderBy("channel_code")).cast("bigint").alias("channel_key"),
-                "channel_code",
-                map_value(F.col("channel_code"), CHANNEL_NAMES).alias("channel_name"),
+            name = map_value(F.col("channel_code"), CHANNEL_NAMES).alias("channel_name")
+            return dense_key(
+                self.ws, "channels", codes.select("channel_code", name), ["channel_code"], "channel_key"
             )
 
         return self.ws.table("dim_channel", build)
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        lo, hi = self.calendar
-        bounds = self.spark.range(1).select(
-            F.lit(lo).cast("date").alias("lo"), F.lit(hi).cast("date").alias("hi")
-        )
-        return self.ws.table(
-            "dim_date",
-            lambda: date_spine(bounds).select(*quarter_columns(F.col("full_date"))),
-        )
+        """Every day between the first and the last event of any kind."""
+
+        def build() -> DataFrame:
+            parts = [
+                self.src[name].agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+                for name, day in EVENT_DAYS.items()
+            ]
+            span = union_all(parts).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+            return date_spine(span).select(*quarter_columns(F.col("full_date")))
+
+        return self.ws.table("dim_date", build)
 
     # ------------------------------------------------------------ identities
 
@@ -164,11 +166,10 @@ class LooseWarehouse:
         )
 
     def _linked(self, events: DataFrame, system: str, id_column: str, day: str) -> DataFrame:
-        """Attach customer (if resolved) and keep only days of the calendar."""
+        """Attach the customer (if resolved) and the day, which the calendar holds by its making.
+        An event without a date keeps an empty day."""
         dated = events.withColumn("date_key", date_key(F.col(day)))
-        return dated.join(self.identities(system, id_column), id_column, "left").join(
-            self.dim_date.select("date_key"), "date_key"
-        )
+        return dated.join(self.identities(system, id_column), id_column, "left")
 
     def _with_channel(self, rows: DataFrame) -> DataFrame:
         channel = self.dim_channel.select("channel_key", F.col("channel_code").alias("channel"))
@@ -295,13 +296,11 @@ def customer_360(wh: LooseWarehouse) -> DataFrame:
 
 
 def settled_reconciliation(wh: LooseWarehouse) -> DataFrame:
-    """Settled minus orphans equals loaded, in rows and in money.
+    """Settled minus orphans equals loaded, in rows and in money; neither is empty.
 
-    Days outside the calendar are dropped by contract, so they are counted apart.
+    The orphans must also be the rejects on record.
     """
-    lo, hi = (F.lit(d).cast("date") for d in wh.calendar)
     kept = ~F.col("orphan")
-    dated = kept & F.col("txn_date").between(lo, hi)
 
     def money(c: Column | str) -> Column:
         return F.coalesce(F.sum(c), F.lit(0)).cast(MONEY)
@@ -309,20 +308,23 @@ def settled_reconciliation(wh: LooseWarehouse) -> DataFrame:
     both = reports.one_row(
         wh.settled.agg(
             F.count(F.lit(1)).alias("source_settled"),
-            F.count_if("orphan").alias("rejected_orphans"),
-            F.count_if(kept & ~dated).alias("outside_calendar"),
-            money(F.when(dated, F.col("amount_aud"))).alias("source_amount"),
+            F.count_if("orphan").alias("orphans"),
+            money(F.when(kept, F.col("amount_aud"))).alias("source_amount"),
+        ),
+        wh.rejected_record.where(F.col("reason") == ORPHAN_ACCOUNT).agg(
+            F.count(F.lit(1)).alias("rejected_orphans")
         ),
         wh.transaction_rows.agg(
             F.count(F.lit(1)).alias("actual_loaded"), money("amount_aud").alias("warehouse_amount")
         ),
     )
-    expected = F.col("source_settled") - F.col("rejected_orphans") - F.col("outside_calendar")
     return both.select(
-        "source_settled", "rejected_orphans", "outside_calendar", "actual_loaded",
+        "source_settled", "orphans", "rejected_orphans", "actual_loaded",
         "source_amount", "warehouse_amount",
         guards.verdict(
-            (expected == F.col("actual_loaded"))
+            (F.col("source_settled") > 0)
+            & (F.col("orphans") == F.col("rejected_orphans"))
+            & (F.col("source_settled") - F.col("orphans") == F.col("actual_loaded"))
             & (F.col("source_amount") == F.col("warehouse_amount"))
         ),
     )
@@ -412,45 +414,49 @@ def unresolved_identities(wh: LooseWarehouse) -> DataFrame:
 
 
 def account_links_kept(wh: LooseWarehouse) -> DataFrame:
-    """Valid accounts are linked, account identities agree, and no event row is lost."""
+    """Accounts are linked, account identities agree, keys follow the status, no event is lost.
+
+    Every fact with a source account is compared: an account of a known customer must carry
+    its warehouse key, one whose owner was rejected must carry none and is counted apart.
+    """
     owner = wh.src["accounts"].select("account_id", "customer_id")
     tx = wh.src["transactions"].select("transaction_id", "account_id")
-    dim = wh.dim_account.select("account_key", F.col("account_id").alias("dim_account_id"))
     facts = wh.transaction_rows.select("transaction_id", "account_key").join(tx, "transaction_id")
-    # An account whose owner is unknown has no warehouse row to link to.
-    valid = facts.join(wh.dim_account.select("account_id"), "account_id", "left_semi")
-    linked = valid.join(dim, "account_key", "left").agg(
-        F.lit("valid account linked").alias("check_name"),
-        F.count(F.lit(1)).alias("checked"),
-        F.count_if(differs(F.col("dim_account_id"), F.col("account_id"))).alias("violations"),
+    on_account = facts.join(
+        wh.account_links.select("account_id", F.col("account_key").alias("own_key")), "account_id"
     )
+    owned = F.col("own_key").isNotNull()
+
+    def line(df: DataFrame, name: str, checked: Column, wrong: Column) -> DataFrame:
+        return df.agg(
+            F.lit(name).alias("check_name"),
+            F.count_if(checked).alias("checked"),
+            F.count_if(checked & wrong).alias("violations"),
+        )
+
     core = wh.identities("S1", "customer_id").withColumnRenamed("customer_key", "xref_key")
     identity = (
         wh.dim_account.select("account_id", "customer_key")
         .join(owner, "account_id")
         .join(core, "customer_id", "left")
-        .agg(
-            F.lit("account identity agrees").alias("check_name"),
-            F.count(F.lit(1)).alias("checked"),
-            F.count_if(differs(F.col("customer_key"), F.col("xref_key"))).alias("violations"),
-        )
     )
-    lo, hi = (F.lit(d).cast("date") for d in wh.calendar)
+    matched = F.col("match_status") == "matched"
 
-    def kept(name: str, source: DataFrame, day: str, rows: DataFrame, key: str) -> DataFrame:
-        dated = source.where(F.col(day).between(lo, hi)).select(key)
-        return dated.join(rows.select(key, F.lit(True).alias("_there")), key, "left").agg(
-            F.lit(name).alias("check_name"),
-            F.count(F.lit(1)).alias("checked"),
-            F.count_if(F.col("_there").isNull()).alias("violations"),
-        )
+    def kept(name: str, source: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+        there = source.select(key).join(rows.select(key, F.lit(True).alias("_there")), key, "left")
+        return line(there, name, F.lit(True), F.col("_there").isNull())
 
     return union_all(
         [
-            linked,
-            identity,
-            kept("activity rows kept", wh.src["digital_activity"], "activity_date", wh.activity_rows, "activity_id"),
-            kept("case rows kept", wh.src["service_cases"], "opened_date", wh.case_rows, "case_id"),
+            line(on_account, "valid account linked", owned, differs(F.col("account_key"), F.col("own_key"))),
+            line(on_account, "account of a rejected owner unlinked", ~owned, F.col("account_key").isNotNull()),
+            line(identity, "account identity agrees", F.lit(True),
+                 differs(F.col("customer_key"), F.col("xref_key"))),
+            line(wh.xref_rows, "key follows status", F.lit(True),
+                 differs(matched, F.col("customer_key").isNotNull())),
+            kept("transaction rows kept", wh.settled.where(~F.col("orphan")), wh.transaction_rows, "transaction_id"),
+            kept("activity rows kept", wh.src["digital_activity"], wh.activity_rows, "activity_id"),
+            kept("case rows kept", wh.src["service_cases"], wh.case_rows, "case_id"),
         ]
     ).select("*", guards.verdict(F.col("violations") == 0))
 

@@ -323,14 +323,15 @@ DERIVED = Contract(
         "activity": "^ACT[0-9]{12}$",
         "service_case": "^SC[0-9]{12}$",
     },
-    window=("1995-01-01 00:00:00", "2024-01-16 00:00:00"),
+    window=("1995-01-01 00:00:00", "2024-02-01 00:00:00"),
     row_counts={},
     not_fixture={
         "invalid_account_excluding_fixture": "account_id <> 'AUNKNOWN'",
         "missing_payment_customer_excluding_fixture": "payment_customer_id <> 'PUNKNOWN'",
         "orphan_activity_excluding_fixture": "digital_customer_id <> 'DUNKNOWN'",
         "orphan_service_case_excluding_fixture": "digital_customer_id <> 'DUNKNOWN'",
-        "duplicate_business_ref_excluding_fixture": "source_transaction_ref <> 'BREF-000000000096'",
+        "duplicate_business_ref_excluding_fixture":
+            "CAST(SUBSTRING(source_transaction_ref, 6) AS BIGINT) % 97 <> 0",
     },
     fixtures=DERIVED_FIXTURES,
 )
@@ -344,6 +345,7 @@ def derived_expectations(spark: SparkSession, sf_dir: str, names: set[str]) -> D
     n = F.count(F.lit(1))
     k, o, e = F.col("c_custkey"), F.col("o_orderkey"), F.col("event_id")
     payer, digital, is_case = (k % 20) != 4, (k % 15) != 3, F.col("event_type") == "error"
+    without_profile = (e % 499 != 0) & (F.col("user_id") % 15 == 3)
     accounts = n + F.count_if(k % 2 == 0)
     measures = {
         "customer": {
@@ -361,18 +363,33 @@ def derived_expectations(spark: SparkSession, sf_dir: str, names: set[str]) -> D
             + F.count_if(digital & (k % 11 == 0)),
             "payment_name_whitespace_rows": F.count_if(payer & (k % 7 == 0)),
             "digital_name_whitespace_rows": F.count_if(digital & (k % 9 == 0)),
+            "null_required_payment_customer": F.count_if(payer & (k % 11 == 0)) + F.count_if(k % 121 == 0),
+            "null_required_digital_customer": F.count_if(digital & (k % 13 == 0)),
+            # A wrong birth date hides the person, a missing one the contact; twins have none.
+            "payer_without_core_person": F.count_if(payer & (k % 11 != 0) & (k % 13 == 0)),
+            "payer_without_core_contact": F.count_if(
+                payer & (k % 17 != 0) & ((k % 11 == 0) | (k % 13 == 0))
+            )
+            + F.count_if(k % 121 == 0),
+        },
+        "supplier": {
+            "row_count_payment_customer": n, "missing_phone_two_sources": n, "payer_without_core_person": n,
         },
-        "supplier": {"row_count_payment_customer": n, "missing_phone_two_sources": n},
         "orders": {
             "row_count_transaction": n,
             "unknown_account_rows": F.count_if(o % 211 == 0),
             "unknown_payer_rows": F.count_if(o % 223 == 0),
+            "missing_payment_customer_excluding_fixture": F.count_if(
+                (o % 223 != 0) & (F.col("o_custkey") % 20 == 4)
+            ),
         },
         "events": {
             "row_count_activity": n,
             "row_count_service_case": F.count_if(is_case),
             "orphan_activity_rows": F.count_if(e % 499 == 0),
             "orphan_case_rows": F.count_if(is_case & (e % 499 == 0)),
+            "orphan_activity_excluding_fixture": F.count_if(without_profile),
+            "orphan_service_case_excluding_fixture": F.count_if(is_case & without_profile),
         },
     }
     parts = []

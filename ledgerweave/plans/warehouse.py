@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerweave.functions import date_key, date_spine, quarter_columns
@@ -19,11 +19,68 @@ from ledgerweave.operators.keys import ordered_rows, with_position
 from ledgerweave.operators.workspace import Workspace, in_parallel
 from ledgerweave.sources.files import Staged
 
-TABLES = [
-    "dim_customer", "dim_account", "dim_date", "dim_channel", "customer_xref",
-    "fact_transaction", "fact_activity", "fact_service_case", "rejected_record",
-]
+# Tables and columns of the published contract.
+SCHEMAS = {
+    "dim_customer": "customer_key bigint, full_name string, date_of_birth date, email string, state string, "
+    "match_quality string, core_customer_id string, phone string",
+    "dim_account": "account_key bigint, account_id string, customer_key bigint, account_type string, "
+    "opened_date date, status string, source_system string",
+    "dim_date": "date_key int, full_date date, day_of_week string, month_no int, quarter_no int, year_no int",
+    "dim_channel": "channel_key bigint, channel_code string, channel_name string",
+    "customer_xref": "xref_key bigint, source_system string, source_customer_id string, customer_key bigint, "
+    "match_rule string, match_status string",
+    "fact_transaction": "transaction_key bigint, transaction_id string, customer_key bigint, account_key bigint, "
+    "date_key int, channel_key bigint, amount_aud decimal(12,2), transaction_count int, status string, "
+    "source_transaction_ref string, batch_id string",
+    "fact_activity": "activity_key bigint, activity_id string, customer_key bigint, date_key int, "
+    "channel_key bigint, activity_type string, activity_count int, batch_id string, event_ts timestamp_ntz",
+    "fact_service_case": "case_key bigint, case_id string, customer_key bigint, date_key int, case_type string, "
+    "status string, severity string, case_count int, batch_id string",
+    "rejected_record": "reject_key bigint, source_system string, source_table string, source_key string, "
+    "reason string, batch_id string, amount_aud decimal(15,2)",
+    "etl_run_log": "step string, source_count bigint, loaded_count bigint, rejected_count bigint, "
+    "excluded_count bigint, batch_id string",
+}
 LOGS = ["etl_run_log"]
+TABLES = [name for name in SCHEMAS if name not in LOGS]
+
+# Names under which reports and checks read tables that also exist without their key.
+ROWS = {
+    "transaction_rows": "fact_transaction", "activity_rows": "fact_activity", "case_rows": "fact_service_case",
+    "xref_rows": "customer_xref", "reject_rows": "rejected_record",
+}
+
+
+class BatchTables(Mapping[str, DataFrame]):
+    """A written batch, under the names that reports and checks read.
+
+    What a batch does not hold, such as sources and decisions, comes from the warehouse
+    that built it, if there still is one.
+    """
+
+    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame], built: Warehouse | None = None):
+        self.spark, self._tables, self._built = spark, dict(tables), built
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._tables[name]
+
+    def __iter__(self):
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+    def __getattr__(self, name: str):
+        table = ROWS.get(name, name)
+        if table in self._tables:
+            return self._tables[table]
+        if self._built is None:
+            raise AttributeError(f"a written batch has no {name}")
+        return getattr(self._built, name)
+
+    def ready(self, *names: str) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in names}
+
 
 EVENT_TIMES = {
     "payment_transaction": "transaction_ts",
@@ -102,13 +159,8 @@ class Warehouse:
                 .union(self.stg["activity"].select("channel"))
                 .distinct()
             )
-            # One row per channel code, so the unpartitioned order is bounded by the code list.
-            rank = F.row_number().over(Window.orderBy("channel_code"))
-            return codes.select(
-                rank.cast("bigint").alias("channel_key"),
-                "channel_code",
-                F.col("channel_code").alias("channel_name"),
-            )
+            named = codes.select("channel_code", F.col("channel_code").alias("channel_name"))
+            return self._keyed("dim_channel", named, ["channel_code"], "channel_key")
 
         return self.ws.table("dim_channel", build)
 

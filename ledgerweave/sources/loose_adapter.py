@@ -16,7 +16,6 @@ TX_STATUS = {"F": "SETTLED", "O": "PENDING", "P": "FAILED"}
 ACTIVITY_TYPES = {"click": "VIEW_BALANCE", "view": "VIEW_BALANCE", "purchase": "PAY_SOMEONE"}
 CASE_TYPES = ["CARD_DISPUTE", "LOGIN_ISSUE", "FEE_ENQUIRY", "ADDRESS_UPDATE"]
 SEVERITIES = ["LOW", "MEDIUM", "HIGH"]
-CALENDAR = ("1996-01-01", "2024-01-20")
 
 
 def _email(k: Column) -> Column:

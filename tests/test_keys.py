@@ -32,21 +32,19 @@ def brute_ranks(rows):
     return {(ref, i): n for ref, ids in groups.items() for n, i in enumerate(sorted(ids), 1)}
 
 
-def test_rank_by_id_both_ways(spark, ws):
+def test_rank_by_id(spark, ws):
     rows = hot_groups()
     df = spark.createDataFrame(rows, "ref string, id int").repartition(5)
     want = brute_ranks(rows)
-    for name, limit in [("window", 10_000), ("mixed", 100), ("positions", 1)]:
-        got = rank_by_id(ws, name, df, ["ref"], "id", window_rows=limit).collect()
-        assert {(r["ref"], r["id"]): r["rn"] for r in got} == want
-        assert len(got) == len(rows)
+    got = rank_by_id(ws, "ids", df, ["ref"], "id").collect()
+    assert {(r["ref"], r["id"]): r["rn"] for r in got} == want
+    assert len(got) == len(rows)
 
 
 def test_rank_rows_with_ties(spark, ws):
     rows = [("hot", i // 2) for i in range(400)] + [(f"one{i}", i) for i in range(300)]
     df = spark.createDataFrame(rows, "ref string, v int").repartition(5)
-    for name, limit in [("window", 10_000), ("positions", 10)]:
-        got = rank_rows(ws, name, df, ["ref"], ["v"], window_rows=limit).collect()
-        hot = sorted((r["rn"], r["v"]) for r in got if r["ref"] == "hot")
-        assert hot == [(n + 1, n // 2) for n in range(400)]
-        assert all(r["rn"] == 1 for r in got if r["ref"] != "hot") and len(got) == len(rows)
+    got = rank_rows(ws, "rows", df, ["ref"], ["v"]).collect()
+    hot = sorted((r["rn"], r["v"]) for r in got if r["ref"] == "hot")
+    assert hot == [(n + 1, n // 2) for n in range(400)]
+    assert all(r["rn"] == 1 for r in got if r["ref"] != "hot") and len(got) == len(rows)

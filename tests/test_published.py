@@ -1,5 +1,7 @@
 """The published contract end to end on its rebuilt sources."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,8 +10,34 @@ from ledgerweave.operators import scorecard
 from ledgerweave.operators.audit import AuditLog
 from ledgerweave.operators.disposition import REJECT_ACCOUNT
 from ledgerweave.plans import guards, inspection, publish, reports
+from ledgerweave.operators.scorecard import Check
+from ledgerweave.operators.workspace import Workspace
 from ledgerweave.plans import source_checks as sc
+from ledgerweave.plans.warehouse import SCHEMAS, BatchTables, Warehouse
+from ledgerweave.session import shared_folder
 from ledgerweave.sources.files import scan, scan_expected_identities
+from ledgerweave.sources.schemas import EXPECTED_IDENTITY
+
+
+REJECTS = [
+    ("transaction", "T000250", "REJECT_ACCOUNT"),
+    ("transaction", "T002001", "REJECT_DUPLICATE"),
+    ("transaction", "T002002", "REJECT_CUSTOMER_REFERENCE"),
+    ("activity", "ACT000050", "REJECT_CUSTOMER_REFERENCE"),
+    ("service_case", "SC00020", "REJECT_CUSTOMER_REFERENCE"),
+]
+
+
+def people():
+    """The expected person behind every source id."""
+    out = []
+    for n in range(1, 201):
+        pay = None if n in published_fixture.NO_PAYMENT else f"P{1000 + n}"
+        dig = None if n in published_fixture.NO_DIGITAL else f"D{1000 + n}"
+        out.append((f"C{n:04d}", pay, dig, "MATCH" if pay or dig else "CORE_ONLY", f"E{n:04d}", None))
+    out.append((None, "P8888", None, "AMBIGUOUS", "E0201", None))
+    out.append((None, "P9999", None, "UNMATCHED", "E0202", None))
+    return out
 
 
 @pytest.fixture(scope="module")
@@ -23,8 +51,17 @@ def root(tmp_path_factory):
 
 
 @pytest.fixture(scope="module")
-def wh(spark, src, root):
-    return publish.build_batch(spark, src, root, "b1")
+def batch(spark, src, root):
+    """A batch through the whole gate."""
+    rejects = spark.createDataFrame(REJECTS, "source_table string, source_key string, reason string")
+    identities = guards.expected_by_source(spark.createDataFrame(people(), EXPECTED_IDENTITY))
+    gate = publish.Gate(sc.source_checks(sc.PUBLISHED), None, identities, rejects)
+    return publish.build_batch(spark, src, root, "b1", gate=gate)
+
+
+@pytest.fixture(scope="module")
+def wh(spark, src):
+    return Warehouse(spark, src, Workspace(spark, "published"), "b0")
 
 
 def test_all_89_source_checks_pass(src):
@@ -48,17 +85,13 @@ def test_identity_counts(wh):
 
 
 def test_rejects_and_log(spark, wh):
-    want = [
-        ("transaction", "T000250", "REJECT_ACCOUNT"),
-        ("transaction", "T002001", "REJECT_DUPLICATE"),
-        ("transaction", "T002002", "REJECT_CUSTOMER_REFERENCE"),
-        ("activity", "ACT000050", "REJECT_CUSTOMER_REFERENCE"),
-        ("service_case", "SC00020", "REJECT_CUSTOMER_REFERENCE"),
-    ]
-    expected = spark.createDataFrame(want, "source_table string, source_key string, reason string")
+    expected = spark.createDataFrame(REJECTS, "source_table string, source_key string, reason string")
     lines = guards.expected_rejects(wh.reject_rows, expected).collect()
     assert sum(r["found"] for r in lines) == 5
     assert sum(r["missing"] + r["additional"] for r in lines) == 0
+    assert all(r["result"] == "PASS" for r in lines)
+    fewer = guards.expected_rejects(wh.reject_rows, expected.where("reason <> 'REJECT_ACCOUNT'")).collect()
+    assert [r["reason"] for r in fewer if r["result"] == "FAIL"] == ["REJECT_ACCOUNT"]
     log = {r["step"]: (r["source_count"], r["loaded_count"], r["rejected_count"]) for r in wh.etl_run_log.collect()}
     assert log["activity"] == (1000, 999, 1) and log["service_case"] == (100, 99, 1)
     assert log["transaction"][0] == 2002 and log["transaction"][2] == 3
@@ -72,8 +105,6 @@ def test_channels_and_calendar(wh):
 
 
 def test_duplicate_comes_first_even_if_the_kept_row_is_bad(spark, src, ws):
-    from ledgerweave.plans.warehouse import Warehouse
-
     bad = F.when(F.col("transaction_id") == "T000100", "A99999").otherwise(F.col("account_id"))
     broken = dict(src, payment_transaction=src["payment_transaction"].withColumn("account_id", bad))
     wh = Warehouse(spark, broken, ws)
@@ -81,27 +112,132 @@ def test_duplicate_comes_first_even_if_the_kept_row_is_bad(spark, src, ws):
     assert got == {"T000100": REJECT_ACCOUNT, "T002001": "REJECT_DUPLICATE"}
 
 
-def test_published_batch_and_two_equal_builds(spark, src, root, wh):
-    publish.build_batch(spark, src, root, "b2")
+def test_published_batch_and_two_equal_builds(spark, src, root, batch):
+    publish.build_batch(spark, src, root, "b2", gate=publish.Gate(twice=False))
     equal = publish.builds_equal(spark, root, "b1", "b2").collect()
     assert len(equal) == 9 and all(r["equal"] for r in equal)
-    assert publish.published(spark, root)["fact_transaction"].select("batch_id").first()[0] == "b2"
+    newest = publish.published(spark, root)
+    assert newest["fact_transaction"].select("batch_id").first()[0] == "b2"
     log = AuditLog(spark, f"{root}/audit")
     assert {r["batch_id"]: r["status"] for r in log.batches().collect()} == {"b1": "PASS", "b2": "PASS"}
     assert log.steps().count() == 6
 
 
+def test_reports_read_a_published_batch(spark, src, root, batch, wh):
+    """The batch's workspace is gone; its reports equal those of a live warehouse."""
+    newest = publish.published(spark, root)
+    for name, ddl in SCHEMAS.items():
+        assert ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in newest[name].schema) == ddl
+    for report in reports.REPORTS.values():
+        ours, theirs = report(newest), report(wh)
+        assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+
+
+def damaged_facts(df):
+    return df.withColumn("amount_aud", (F.col("amount_aud") + 1).cast("decimal(12,2)"))
+
+
+DAMAGE = {
+    "half the transactions": ("fact_transaction", lambda df: df.where("transaction_key % 2 = 0")),
+    "amounts raised": ("fact_transaction", damaged_facts),
+    "three activities": ("fact_activity", lambda df: df.limit(3)),
+    "case status": ("fact_service_case", lambda df: df.withColumn("status", F.lit("OPEN"))),
+    "rejects emptied": ("rejected_record", lambda df: df.limit(0)),
+    "identities shifted": (
+        "customer_xref", lambda df: df.withColumn("customer_key", F.col("customer_key") % 200 + 1),
+    ),
+    "customers lost": ("dim_customer", lambda df: df.where("customer_key > 5")),
+    "accounts moved": ("dim_account", lambda df: df.withColumn("customer_key", F.lit(1).cast("bigint"))),
+    "a day lost": ("dim_date", lambda df: df.where(F.col("date_key") > df.agg(F.min("date_key")).first()[0])),
+    "channel renamed": ("dim_channel", lambda df: df.withColumn("channel_name", F.lit("?"))),
+    "log altered": ("etl_run_log", lambda df: df.withColumn("loaded_count", F.col("loaded_count") - 1)),
+}
+
+
+def test_every_damage_to_a_published_table_is_found(wh):
+    tables = {name: getattr(wh, name) for name in SCHEMAS}
+    assert set(guards.failures(wh, tables).values()) == {0}
+    for label, (name, hurt) in DAMAGE.items():
+        found = guards.failures(wh, dict(tables, **{name: hurt(tables[name])}))
+        assert sum(found.values()) > 0, label
+        # Not only the comparison with the build notices what the batch's numbers show.
+        if label in ("half the transactions", "amounts raised", "three activities", "rejects emptied"):
+            assert sum(n for check, n in found.items() if check != "published equals built") > 0, label
+
+
+def test_damage_while_writing_leaves_the_batch_unpublished(spark, src, tmp_path, monkeypatch):
+    real = publish.read_batch
+
+    def hurt(spark, path):
+        tables = dict(real(spark, path))
+        tables["fact_transaction"] = damaged_facts(tables["fact_transaction"])
+        return BatchTables(spark, tables)
+
+    monkeypatch.setattr(publish, "read_batch", hurt)
+    with pytest.raises(guards.CheckFailed, match="amount total"):
+        publish.build_batch(spark, src, str(tmp_path), "bad", False, publish.Gate(twice=False))
+    monkeypatch.undo()
+    with pytest.raises(LookupError):
+        publish.published(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("part", ["source checks", "expected identities", "expected rejects"])
+def test_gate_parts_stop_a_batch(spark, src, tmp_path, part):
+    wrong = {
+        "source checks": {"checks": [Check("too_many", "customer", "rows", expected=1)]},
+        "expected identities": {
+            "identities": guards.expected_by_source(spark.createDataFrame(people()[1:], EXPECTED_IDENTITY))
+        },
+        "expected rejects": {
+            "rejects": spark.createDataFrame(REJECTS[1:], "source_table string, source_key string, reason string")
+        },
+    }[part]
+    folder = Path(shared_folder(spark))
+    before = set(folder.iterdir())
+    with pytest.raises(guards.CheckFailed, match=part):
+        publish.build_batch(spark, src, str(tmp_path), "bad", False, publish.Gate(twice=False, **wrong))
+    assert set(folder.iterdir()) == before  # the workspace is gone
+    with pytest.raises(LookupError):
+        publish.published(spark, str(tmp_path))
+
+
 def test_failed_batch_stays_unpublished(spark, src, tmp_path, monkeypatch):
     root = str(tmp_path)
     monkeypatch.setitem(guards.CHECKS, "always fails", lambda wh: wh.dim_channel.select(F.lit("FAIL").alias("result")))
     with pytest.raises(guards.CheckFailed, match="always fails"):
-        publish.build_batch(spark, src, root, "bad", write_snapshots=False)
+        publish.build_batch(spark, src, root, "bad", False, publish.Gate(twice=False))
     with pytest.raises(LookupError):
         publish.published(spark, root)
     state = AuditLog(spark, f"{root}/audit").batches().first()
     assert state["status"] == "FAIL" and "always fails" in state["error"]
 
 
+def test_files_per_month_are_bounded(spark, wh, tmp_path):
+    """Ids and months do not go together; sixteen tasks still write each month once."""
+    spread = BatchTables(
+        spark, {n: getattr(wh, n).repartition(16) if n in publish.FACTS else getattr(wh, n) for n in SCHEMAS}
+    )
+    spread.build = lambda: dict(spread)
+    publish.write_batch(spread, str(tmp_path / "b"))
+    for fact in publish.FACTS:
+        for month in (tmp_path / "b" / fact).glob("event_month=*"):
+            assert len(list(month.glob("*.parquet"))) == 1
+
+
+def test_a_failed_write_can_be_repeated(spark):
+    ws = Workspace(spark, "retry")
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        ws.table("t", lambda: bad)
+    assert ws.table("t", lambda: spark.range(3)).count() == 3
+
+
+def test_controlled_fanout(wh):
+    lines = {r["case_name"]: r for r in guards.fanout_guard(wh).collect()}
+    assert (lines["controlled"]["right_total"], lines["controlled"]["wrong_total"]) == (150, 450)
+    assert all(r["result"] == "PASS" for r in lines.values())
+
+
 def test_corrupted_amount_is_found(wh):
     lines = {(r["data"], r["fact"]): r["result"] for r in guards.negative_amount(wh).collect()}
     assert lines[("corrupted", "fact_transaction")] == "FAIL"
@@ -120,19 +256,17 @@ def test_constraints_find_violations(wh):
 
 def test_expected_identity_file_with_byte_order_mark(spark, wh, tmp_path):
     lines = ["core_customer_id,payment_customer_id,digital_customer_id,expected_outcome,expected_group,notes"]
-    for n in range(1, 201):
-        pay = "" if n in published_fixture.NO_PAYMENT else f"P{1000 + n}"
-        dig = "" if n in published_fixture.NO_DIGITAL else f"D{1000 + n}"
-        lines.append(f"C{n:04d},{pay},{dig},{'MATCH' if pay or dig else 'CORE_ONLY'},E{n:04d},")
-    lines += [",P8888,,AMBIGUOUS,E0201,", ",P9999,,UNMATCHED,E0202,"]
+    lines += [",".join(v or "" for v in person) for person in people()]
     path = tmp_path / "expected.csv"
     path.write_text("\n".join(lines) + "\n", encoding="utf-8-sig")
-    people = scan_expected_identities(spark, str(path))
-    assert people.where("expected_outcome = 'CORE_ONLY'").count() == 3
-    expected = guards.expected_by_source(people)
+    scanned = scan_expected_identities(spark, str(path))
+    assert scanned.where("expected_outcome = 'CORE_ONLY'").count() == 3
+    expected = guards.expected_by_source(scanned)
     assert expected.count() == 577 == wh.xref_rows.count()
     lines = guards.expected_identity(wh.xref_rows, wh.dim_customer, expected).collect()
     assert sum(r["expected_ids"] for r in lines) == 577 and all(r["result"] == "PASS" for r in lines)
+    fewer = guards.expected_identity(wh.xref_rows, wh.dim_customer, expected.where("source_id <> 'P9999'"))
+    assert [r["status"] for r in fewer.collect() if r["result"] == "FAIL"] == ["unexpected"]
 
 
 def test_side_by_side(src):
