@@ -45,12 +45,17 @@ class Scratch:
     """Tables of one operator call below the session's shared folder.
 
     A written table cuts lineage: losing an executor repeats one stage, never the
-    whole chain. ``drop`` removes the tables nothing reads any more.
+    whole chain. ``drop`` removes the tables nothing reads any more; the others go when
+    the session ends.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

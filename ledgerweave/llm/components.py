@@ -60,5 +60,6 @@ def components(links: DataFrame, scratch: Scratch, label: str) -> DataFrame:
         if now == before:
             break
         before = now
+    # The caller reads the last round; the rounds before are gone.
     roots = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -6,11 +6,12 @@ representatives are neighbours in an order if they share its first ``FIRST`` val
 of an order that holds more than ``REGION`` of them is cut at deeper values until it is small,
 so crowded regions compare at a longer common prefix and sparse ones at a short one.
 
-Inside a region the signatures give estimated similarities and a maximum spanning forest of
-those near the threshold or above; its links are confirmed on the full sets. A second round
-confirms every remaining close pair of a region whose members the first round left apart.
-Links that are only implied by others are never listed, so a group of copies costs one row per
-member and order.
+Inside a region the signatures give estimated similarities, and a maximum spanning forest of
+the pairs that may reach the threshold. The trees of all regions together make clusters: two
+representatives that share a region and may be linked are in one cluster, however many lie
+between them. Every cluster then decides all its pairs exactly on the full sets, by
+multiplying membership matrices in cells of bounded size, and gives back a spanning set of
+links. So no pair is ever a row, and a group of copies costs one row per member and order.
 
 At the default threshold a linked pair shares no prefix with probability under 1e-5 (1e-7 at
 0.85), and an estimate lies ``SLACK`` deviations below its value with probability 2e-5.
@@ -38,6 +39,9 @@ SIZE, TREES, FIRST = 96, 24, 4
 REGION = 3_000
 DEEPEST = 48
 SLACK = 4.1
+BLOCK, BLOCK_SHINGLES = 2_048, 2_000_000
+OFTEN = 64  # a shingle in more sets of a cell is counted by matrix products
+COLUMNS = 2_048
 
 _random = np.random.default_rng(20_240_601)
 _MULTIPLY = _random.integers(1, 1 << 63, SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -152,8 +156,10 @@ def _sized(keys: DataFrame) -> DataFrame:
     return keys.withColumn("size", size).where("size > 1")
 
 
-def _regions(reps: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
-    """``region, id`` of all small regions, and links to the first member of each crowded one."""
+def _regions(
+    reps: DataFrame, scratch: Scratch, least: float, percent: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """``region, id`` of all small regions, and the pairs of each crowded region's first member."""
     fields = "region bigint, tree int, id bigint"
     level = scratch.write(
         f"level-{FIRST}", _sized(reps.select("id", "sig").mapInArrow(_first_keys, fields))
@@ -161,8 +167,14 @@ def _regions(reps: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame |
     small, stars, depth = level.where(F.col("size") <= REGION).select("region", "id"), None, FIRST
     crowded = level.where(F.col("size") > REGION)
     while not crowded.isEmpty():
-        first = crowded.groupBy("region").agg(F.min("id").alias("a"))
-        star = crowded.join(first, "region").where("a <> id").select("a", F.col("id").alias("b"))
+        known = crowded.join(reps, "id")
+        first = known.groupBy("region").agg(
+            F.min("id").alias("a"), F.min_by(F.struct("n", "sig"), "id").alias("first")
+        )
+        star = known.join(first, "region").where("a <> id").select(
+            "a", F.col("first.n").alias("n_a"), F.col("first.sig").alias("sig_a"),
+            F.col("id").alias("b"), "n", "sig",
+        ).mapInArrow(_close(least, percent), "a bigint, b bigint")
         stars = star if stars is None else stars.unionByName(star)
         if depth >= DEEPEST:  # signatures agree: chunks, held together by the stars
             chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / REGION))
@@ -171,15 +183,29 @@ def _regions(reps: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame |
             )
             break
         depth += 2 if depth < 12 else 12
-        keyed = crowded.select("tree", "id").join(reps.select("id", "sig"), "id")
         level = scratch.write(
-            f"level-{depth}", _sized(keyed.mapInArrow(_deeper_keys(depth), fields))
+            f"level-{depth}",
+            _sized(known.select("tree", "id", "sig").mapInArrow(_deeper_keys(depth), fields)),
         )
         small = small.unionByName(level.where(F.col("size") <= REGION).select("region", "id"))
         crowded = level.where(F.col("size") > REGION)
     return small, stars
 
 
+def _close(least: float, percent: int):
+    """Of listed pairs with both signatures, those whose estimate is ``least`` or more."""
+    def work(batches):
+        for batch in batches:
+            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
+            n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n").to_numpy()
+            alike = (_matrix(batch.column("sig_a")) == _matrix(batch.column("sig"))).mean(axis=1)
+            sized = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+            keep = sized & (alike >= least)
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+
+    return work
+
+
 def _spanning(least: float, percent: int):
     """Links of a maximum spanning forest over estimates of at least ``least`` in a region."""
     def work(region: pa.Table) -> pa.Table:
@@ -197,7 +223,8 @@ def _spanning(least: float, percent: int):
             at = int(np.where(open_, best, -2.0).argmax())
             if best[at] >= least:
                 pairs.append((ids[link[at]], ids[at]))
-        return _pair_table(pairs)
+        table = np.array(pairs, np.int64).reshape(-1, 2)
+        return pa.table({"a": table.min(axis=1), "b": table.max(axis=1)})
 
     return work
 
@@ -209,58 +236,97 @@ def _alike(sigs: np.ndarray, sizes: np.ndarray, at: int, percent: int) -> np.nda
     return np.where(100 * low >= percent * high, alike, -1.0)
 
 
-def _apart(least: float, percent: int):
-    """All pairs of a region with estimates of at least ``least`` and different roots."""
-    def work(region: pa.Table) -> pa.Table:
-        ids, sizes = region.column("id").to_numpy(), region.column("n").to_numpy()
-        roots, sigs = region.column("root").to_numpy(), _matrix(region.column("sig"))
-        pairs = []
-        for at in range(len(ids) - 1):
-            alike = _alike(sigs, sizes, at, percent)
-            for other in np.flatnonzero((alike >= least) & (roots != roots[at])):
-                if other > at:
-                    pairs.append((ids[at], ids[other]))
-        return _pair_table(pairs)
-
-    return work
-
-
-def _pair_table(pairs: list) -> pa.Table:
-    table = np.array(pairs, np.int64).reshape(-1, 2)
-    return pa.table({"a": table.min(axis=1), "b": table.max(axis=1)})
+def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all left sets with all right sets.
 
+    Shingles in many sets go through matrix products, a bounded number of shingles at a time;
+    those in few sets add one to each of their few pairs.
+    """
+    values, place = np.unique(np.concatenate(left + right), return_inverse=True)
+    n_left = sum(map(len, left))
+    rows = np.repeat(np.arange(len(left)), [len(s) for s in left])
+    cols = np.repeat(np.arange(len(right)), [len(s) for s in right])
+    at_left, at_right = place[:n_left], place[n_left:]
+    in_left = np.bincount(at_left, minlength=len(values))
+    in_right = np.bincount(at_right, minlength=len(values))
+    counts = np.zeros((len(left), len(right)), np.float32)
+    both = (in_left > 0) & (in_right > 0)
+    often = both & (in_left + in_right > OFTEN)
+    # Frequent shingles: dense blocks.
+    number = np.cumsum(often) - 1
+    pick_left, pick_right = often[at_left], often[at_right]
+    l_row, l_col = rows[pick_left], number[at_left[pick_left]]
+    r_row, r_col = cols[pick_right], number[at_right[pick_right]]
+    l_order, r_order = np.argsort(l_col, kind="stable"), np.argsort(r_col, kind="stable")
+    l_row, l_col, r_row, r_col = l_row[l_order], l_col[l_order], r_row[r_order], r_col[r_order]
+    for start in range(0, int(often.sum()), COLUMNS):
+        l_part = slice(*np.searchsorted(l_col, [start, start + COLUMNS]))
+        r_part = slice(*np.searchsorted(r_col, [start, start + COLUMNS]))
+        x = np.zeros((len(left), COLUMNS), np.float32)
+        y = np.zeros((len(right), COLUMNS), np.float32)
+        x[l_row[l_part], l_col[l_part] - start] = 1
+        y[r_row[r_part], r_col[r_part] - start] = 1
+        counts += x @ y.T
+    # Rare shingles: every left holder meets every right holder, at most OFTEN of either.
+    rare = both & ~often
+    pick_left, pick_right = rare[at_left], rare[at_right]
+    l_key, l_row = at_left[pick_left], rows[pick_left]
+    r_key, r_row = at_right[pick_right], cols[pick_right]
+    r_order = np.argsort(r_key, kind="stable")
+    r_key, r_row = r_key[r_order], r_row[r_order]
+    for start in range(0, len(l_key), 1 << 17):
+        key, row = l_key[start : start + (1 << 17)], l_row[start : start + (1 << 17)]
+        low, many = np.searchsorted(r_key, key), in_right[key]
+        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        cells = np.repeat(row, many) * len(right) + r_row[np.repeat(low, many) + step]
+        counts += np.bincount(cells, minlength=counts.size).reshape(counts.shape)
+    return counts
+
+
+def _exact_links(percent: int):
+    """Spanning links of one cell: all its pairs decided on the full sets."""
+    def work(cell: pa.Table) -> pa.Table:
+        ids, block = cell.column("id").to_numpy(), cell.column("block").to_numpy()
+        sets = [np.frombuffer(m, np.uint64) for m in cell.column("members").to_pylist()]
+        low, high = cell.column("low")[0].as_py(), cell.column("high")[0].as_py()
+        side = [np.flatnonzero(block == b) for b in (low, high)]
+        if not len(side[0]) or not len(side[1]):
+            return pa.table({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        counts = _shared_counts(*([sets[i] for i in s] for s in side))
+        sizes = [np.array([len(sets[i]) for i in s], np.float64) for s in side]
+        union = sizes[0][:, None] + sizes[1][None, :] - counts
+        linked = 100 * counts.astype(np.float64) >= percent * union
+        names = [ids[s].copy() for s in side]
+        far = np.iinfo(np.int64).max
+        while True:  # the smallest id reached spreads until nothing changes
+            first = np.minimum(names[0], np.where(linked, names[1][None, :], far).min(axis=1))
+            second = np.minimum(names[1], np.where(linked, first[:, None], far).min(axis=0))
+            if low == high:
+                first = second = np.minimum(first, second)
+            if (first == names[0]).all() and (second == names[1]).all():
+                break
+            names = [first, second]
+        a, b = np.concatenate(names), np.concatenate([ids[s] for s in side])
+        return pa.table({"a": a[a != b], "b": b[a != b]})
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs whose full sets reach the threshold."""
-    ids = pairs.select(F.col("a").alias("id")).unionByName(
-        pairs.select(F.col("b").alias("id"))
-    ).distinct()
-    schema = pa.schema([("id", pa.int64()), ("members", pa.binary())])
+    return work
 
-    def sets(cols):
-        return {"id": cols["id"],
-                "members": [s.tobytes() for s in shingle_sets(cols["text"], width)]}
 
-    needed = docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(
-        per_batch(sets, schema), "id bigint, members binary"
+def _cells(clusters: DataFrame, reps: DataFrame) -> DataFrame:
+    """``root, low, high, block, id``: members dealt into blocks, and each pair of blocks one
+    cell. A cell holds about ``BLOCK`` members and ``BLOCK_SHINGLES`` shingles per side."""
+    known = clusters.withColumnRenamed("node", "id").join(reps.select("id", "n"), "id")
+    sizes = known.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    blocks = F.greatest(
+        F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)
     )
-    both = (
-        pairs.join(needed.select(F.col("id").alias("a"), F.col("members").alias("left")), "a")
-        .join(needed.select(F.col("id").alias("b"), F.col("members").alias("right")), "b")
+    dealt = known.join(sizes.select("root", blocks.alias("blocks")), "root").select(
+        "root", "id", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
     )
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def confirm(cols):
-        keep = []
-        for i, (x, y) in enumerate(zip(cols["left"], cols["right"])):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * common >= percent * (len(x) + len(y) - common):
-                keep.append(i)
-        return {"a": [cols["a"][i] for i in keep], "b": [cols["b"][i] for i in keep]}
-
-    return both.select("a", "b", "left", "right").mapInArrow(
-        per_batch(confirm, out), "a bigint, b bigint"
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    return dealt.select("root", "id", "block", other).select(
+        "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "block", "id",
     )
 
 
@@ -281,39 +347,34 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
             F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")
         ),
     )
-    reps = classes.select(F.col("rep").alias("id"), "n", "sig")
-    members, stars = _regions(reps, scratch)
+    # Ids that repeat can stand for several classes, which are one document then.
+    reps = classes.groupBy(F.col("rep").alias("id")).agg(
+        F.max("n").alias("n"), F.max_by("sig", "n").alias("sig")
+    )
     share = percent / 100
     least = share - SLACK * (share * (1 - share) / SIZE) ** 0.5
-    known = members.join(reps, "id")
-    found = known.groupBy("region").applyInArrow(_spanning(least, percent), "a bigint, b bigint")
+    members, stars = _regions(reps, scratch, least, percent)
+    found = members.join(reps, "id").groupBy("region").applyInArrow(
+        _spanning(least, percent), "a bigint, b bigint"
+    )
     if stars is not None:
         found = found.unionByName(stars)
-    tried = scratch.write("pairs-1", found.distinct())
-    links = scratch.write("links-1", _confirmed(tried, rows, width, percent))
-    roots = components(links, scratch, "roots-1")
-
-    # Second round: regions whose members are still in different components.
-    within = Window.partitionBy("region")
-    split = (
-        members.join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
-        .withColumn("root", F.coalesce("root", "id"))
-        .withColumn("low", F.min("root").over(within)).withColumn("high", F.max("root").over(within))
-        .where("low < high").select("region", "id", "root")
-    )
-    rest = (
-        split.join(reps, "id").groupBy("region")
-        .applyInArrow(_apart(least, percent), "a bigint, b bigint").distinct()
-        .join(tried, ["a", "b"], "left_anti")
+    clusters = scratch.write("clusters", components(found, scratch, "cluster"))
+    schema = pa.schema([("id", pa.int64()), ("members", pa.binary())])
+
+    def sets(cols):
+        return {"id": cols["id"],
+                "members": [s.tobytes() for s in shingle_sets(cols["text"], width)]}
+
+    needed = rows.join(clusters.select(F.col("node").alias("id")), "id", "left_semi").mapInArrow(
+        per_batch(sets, schema), "id bigint, members binary"
     )
-    more = scratch.write("pairs-2", rest)
-    late = scratch.write("links-2", _confirmed(more, rows, width, percent))
-    all_roots = components(
-        late.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))),
-        scratch, "roots-2",
+    links = _cells(clusters, reps).join(needed, "id").groupBy("root", "low", "high").applyInArrow(
+        _exact_links(percent), "a bigint, b bigint"
     )
+    roots = components(links, scratch, "root")
     named = classes.select("digest", "rep").join(
-        all_roots.select(F.col("node").alias("rep"), "root"), "rep", "left"
+        roots.withColumnRenamed("node", "rep"), "rep", "left"
     ).select("digest", F.coalesce("root", "rep").alias("component_id"))
     result = described.select("id", "n", "digest").join(named, "digest", "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"),
@@ -322,5 +383,5 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     ).withColumn("component_id", F.when(F.col(key).isNotNull(), F.col("component_id"))
     ).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
     done = scratch.write("result", result)
-    scratch.drop("described", "classes", "pairs-1", "links-1", "pairs-2", "links-2")
+    scratch.drop("described", "classes", "clusters", *(f"level-{d}" for d in range(DEEPEST + 12)))
     return done
