@@ -22,7 +22,9 @@ are not read. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -64,12 +66,11 @@ def mixed(own: np.ndarray, below: np.ndarray) -> np.ndarray:
 
 def pairs_of(data: bytes) -> np.ndarray:
     """(context, byte) pairs of a text as numbers: nearest context byte first, byte last."""
-    padded = np.frombuffer(END * DEPTH + data, np.uint8).astype(np.int64)
-    n = len(data)
-    out = padded[DEPTH:].copy()
-    for back in range(1, DEPTH + 1):
-        out |= padded[DEPTH - back : DEPTH - back + n] << (8 * (DEPTH + 1 - back))
-    return out
+    # Eight bytes up to and with each byte, read in place as one little-endian number.
+    last = np.ndarray((len(data),), "<u8", END * 7 + data, strides=(1,))
+    window = last >> np.uint64(8 * (7 - DEPTH))
+    context = window & np.uint64((1 << 8 * DEPTH) - 1)
+    return ((context << np.uint64(8)) | (window >> np.uint64(8 * DEPTH))).view(np.int64)
 
 
 class Trees:
@@ -202,7 +203,7 @@ def bytes_of(tokens: list[bytes]) -> bytes:
 
 def _block_counts(texts: Iterator[str | None], train: list[bool]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys of a block and their training counts, zero where only others have them."""
-    words: tuple[dict[bytes, int], dict[bytes, int]] = ({}, {})
+    words: tuple[Counter, Counter] = (Counter(), Counter())
     found: list[tuple[np.ndarray, np.ndarray]] = []
     waiting: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
 
@@ -215,9 +216,7 @@ def _block_counts(texts: Iterator[str | None], train: list[bool]) -> tuple[np.nd
     held = [0, 0]
     for text, learn in zip(texts, train):
         side, tokens = int(learn), tokens_of(text)
-        own = words[side]
-        for token in tokens:
-            own[token] = own.get(token, 0) + 1
+        words[side].update(tokens)
         pairs = pairs_of(bytes_of(tokens))
         waiting[side].append(pairs)
         held[side] += len(pairs)
@@ -233,8 +232,36 @@ def _block_counts(texts: Iterator[str | None], train: list[bool]) -> tuple[np.nd
     return keys, totals.astype(np.int64)
 
 
+def _sums(texts: list[list[bytes]], keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sum of the values of each text's pairs. Pairs of many texts are sorted together, each
+    with the number of its text behind it, so a distinct pair is looked up once."""
+    bits = 62 - 8 * (DEPTH + 1)
+    total = np.zeros(len(texts))
+    waiting: list[np.ndarray] = []
+    held = 0
+
+    def add() -> None:
+        marked = np.sort(np.concatenate(waiting))
+        pairs = marked >> bits
+        first = np.concatenate([[True], pairs[1:] != pairs[:-1]])
+        found = values[np.searchsorted(keys, pairs[first])]
+        each = found[np.cumsum(first) - 1]
+        total[:] += np.bincount(marked & ((1 << bits) - 1), each, len(texts))
+
+    for number, tokens in enumerate(texts):
+        waiting.append((pairs_of(bytes_of(tokens)) << bits) | number)
+        held += len(waiting[-1])
+        if held > _CHUNK:
+            add()
+            waiting.clear()
+            held = 0
+    if waiting:
+        add()
+    return total
+
+
 def score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text",
-          block_bytes: int = 32 << 20) -> DataFrame:
+          block_bytes: int = 12 << 20) -> DataFrame:
     """Score every row; rows whose boolean column ``train`` is true are learned from.
 
     Returns ``key, n_tokens, n_known, train_tokens, base_score, score`` and the flag.
@@ -312,23 +339,28 @@ def score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text",
         pair_keys, pair_values = keys[first_pair:], values[first_pair:]
         places: dict[bytes, int] = {}
         seen = np.zeros(0)
-        out: list[tuple[int, int, float, float]] = []
+        parts = []
         for part in block.to_batches(max_chunksize=512):
             texts = [tokens_of(t) for t in part.column("text").to_pylist()]
-            at = [[places.setdefault(w, len(places)) for w in t] for t in texts]
-            fresh = list(places)[len(seen):]
+            fresh = [w for w in set().union(*texts) if w not in places]
+            places.update(zip(fresh, range(len(places), len(places) + len(fresh))))
             seen = np.concatenate([seen, values[np.searchsorted(keys, word_keys(fresh))]])
-            for words_at, words in zip(at, texts):
-                count = seen[words_at]
-                base = np.log10((count + 0.5) / (tokens + 0.5 * (kinds + 1))).sum()
-                pairs = np.sort(pairs_of(bytes_of(words)))
-                total = pair_values[np.searchsorted(pair_keys, pairs)].sum()
-                out.append((len(words), int((count > 0).sum()), float(base), float(total)))
-        n_tokens, n_known, base, total = zip(*out) if out else ([], [], [], [])
+            sizes = np.array([len(t) for t in texts])
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            at = np.fromiter(map(places.__getitem__, chain.from_iterable(texts)), np.int64, sizes.sum())
+            count = seen[at]
+            base = np.log10((count + 0.5) / (tokens + 0.5 * (kinds + 1)))
+            parts.append((
+                sizes, np.add.reduceat((count > 0).astype(np.int64), starts),
+                np.add.reduceat(base, starts), _sums(texts, pair_keys, pair_values),
+            ))
+        n_tokens, n_known, base, total = (
+            np.concatenate(c) if parts else [] for c in (zip(*parts) if parts else [()] * 4)
+        )
         return pa.table({
             "id": block.column("id").cast(pa.int64()), "train": block.column("train"),
             "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()),
-            "train_tokens": pa.array([tokens] * len(out), pa.int64()),
+            "train_tokens": pa.array([tokens] * len(block), pa.int64()),
             "base_score": pa.array(base, pa.float64()), "score": pa.array(total, pa.float64()),
         })
 
