@@ -120,6 +120,15 @@ def bucket_of(key: Column, borders: list[int]) -> Column:
     return halve(0, len(borders))
 
 
-def input_bytes(docs: DataFrame) -> int:
-    """Catalyst's size estimate of the input, to choose a number of partitions from."""
-    return int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+# Estimates from here on are Spark's way to say that it does not know.
+_UNKNOWN_BYTES = 1 << 50
+
+
+def input_bytes(docs: DataFrame, text: str = "text") -> int:
+    """Size of the input, to choose a number of partitions from: Catalyst's estimate where it
+    rests on files, otherwise the bytes of the text column, summed in one pass."""
+    estimate = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if estimate < _UNKNOWN_BYTES:
+        return estimate
+    size = F.coalesce(F.sum(F.octet_length(F.col(text))), F.lit(0))
+    return int(docs.agg(size.alias("size")).first()["size"])

@@ -183,7 +183,7 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text",
         F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
     ids = docs.select(F.col(key).cast("long").alias("id"))
-    borders = id_buckets(ids, "id", max(1, -(-input_bytes(docs) // bucket_bytes)))
+    borders = id_buckets(ids, "id", max(1, -(-input_bytes(docs, text) // bucket_bytes)))
     heads = {
         r["bucket"]: r["head"]
         for r in ids.groupBy(bucket_of(F.col("id"), borders).alias("bucket"))
