@@ -11,24 +11,24 @@ from conftest import SF_DIR
 
 def test_boundary_cases(spark):
     rows = catalog.QUERIES["identity_boundary_cases"](spark, SF_DIR).where(
-        F.col("source_customer_id").rlike("^B[0-9]$")
+        F.col("source_customer_id").rlike("^Z[PU]-")
     )
     got = {r[0]: tuple(r)[1:] for r in rows.collect()}
-    assert got["B1"] == ("TEST1", "R3_NAME_EMAIL", "matched")
-    assert got["B4"] == (None, "R3_NAME_EMAIL", "ambiguous")
-    assert got["B5"] == ("TEST1", "R2_DOB_CONTACT", "matched")
-    assert got["B7"] == (None, "NONE", "unmatched")
-    assert all(got[b][0] is None for b in ("B2", "B3", "B6"))
+    assert got["ZP-case-and-blanks"] == ("ZC-lone", "R3_NAME_EMAIL", "matched")
+    assert got["ZP-shared-mail"] == (None, "R3_NAME_EMAIL", "ambiguous")
+    assert got["ZP-married-name"] == ("ZC-lone", "R2_DOB_CONTACT", "matched")
+    assert got["ZP-stranger"] == (None, "NONE", "unmatched")
+    assert all(got[b][0] is None for b in ("ZP-name-only", "ZU-other-birthday", "ZP-blank-mail"))
 
 
 def test_pair_cases(spark):
     rows = catalog.QUERIES["identity_pair_cases"](spark, SF_DIR).where(
-        F.col("source_customer_id").startswith("TESTP")
+        F.col("source_customer_id").rlike("^ZP-(solo|double)")
     )
     got = {r[0]: tuple(r)[1:] for r in rows.collect()}
-    assert got["TESTP1"] == (None, "R3_NAME_EMAIL", "ambiguous")
-    assert got["TESTP2"] == got["TESTP3"] == (None, "R3_NAME_EMAIL", "ambiguous")
-    assert got["TESTP4"][0] is None
+    assert got["ZP-solo-open"] == (None, "R3_NAME_EMAIL", "ambiguous")
+    assert got["ZP-double-1"] == got["ZP-double-2"] == (None, "R3_NAME_EMAIL", "ambiguous")
+    assert got["ZP-solo-conflict"][0] is None
 
 
 def brute(anchors, people):
