@@ -47,7 +47,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     head = np.ones_like(y)
     for k in range(8):
         head = head * (x + k)
-    series = 1.0 / (12.0 * y) - 1.0 / (360.0 * y**3) + 1.0 / (1260.0 * y**5)
+    series = 1.0 / (12.0 * y) - 1.0 / (360.0 * y**3) + 1.0 / (1260.0 * y**5) - 1.0 / (1680.0 * y**7)
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(head)
 
 

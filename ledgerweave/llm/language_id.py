@@ -124,7 +124,9 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     places: dict[tuple[str, int], int] = {}
     for entry in zip(rows["key"], rows["order"]):
         places.setdefault(entry, len(places))
-    weights = np.array([floors[order] for _, order in places], np.float32).reshape(len(places), -1)
+    weights = np.array([floors[order] for _, order in places], np.float32).reshape(
+        len(places), len(languages)
+    )
     for word, order, name, n, total, kinds in zip(
         rows["key"], rows["order"], rows["lang"], rows["n"], rows["total"], rows["kinds"]
     ):
