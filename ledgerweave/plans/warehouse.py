@@ -82,6 +82,12 @@ class BatchTables(Mapping[str, DataFrame]):
         return {name: getattr(self, name) for name in names}
 
 
+# What decisions, facts, rejects and checks read of a transaction.
+TX_COLUMNS = [
+    "transaction_id", "source_transaction_ref", "payment_customer_id", "account_id", "transaction_ts",
+    "amount", "channel", "status", "batch_id",
+]
+
 EVENT_TIMES = {
     "payment_transaction": "transaction_ts",
     "activity": "activity_ts",
@@ -213,7 +219,8 @@ class Warehouse:
         return self.ws.table(
             "tx_decision",
             lambda: dp.decide_transactions(
-                self.ws, "tx_rank", self.stg["payment_transaction"], self.xref_rows, self.dim_account
+                self.ws, "tx_rank", self.stg["payment_transaction"].select(*TX_COLUMNS),
+                self.xref_rows, self.dim_account,
             ),
         )
 
