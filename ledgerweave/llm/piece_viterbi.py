@@ -39,6 +39,13 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
+def _marked_words(text: str) -> list[str]:
+    """Words with their marks; texts with single blanks need no pattern."""
+    if "  " in text or MARK in text or text[0] == " " or text[-1] == " ":
+        return WORD.findall(MARK + text.replace(" ", MARK))
+    return (MARK + text.replace(" ", " " + MARK)).split(" ")
+
+
 class Pieces:
     """A model's pieces, and the words encoded so far."""
 
@@ -139,7 +146,7 @@ class Pieces:
                 at += len(self.raw[i].decode())
         return np.array(out, np.int32)
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
         by_length: dict[int, list[str]] = {}
         for word in words:
             found = self.older.get(word)
@@ -156,13 +163,11 @@ class Pieces:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         out = []
         for start in range(0, len(texts), 256):
-            split = [
-                WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts[start : start + 256]
-            ]
+            split = [_marked_words(t) if t else [] for t in texts[start : start + 256]]
             if len(self.known) > self.REMEMBERED:
                 self.older, self.known = self.known, {}
             known = self.known
-            self._learn([w for w in set().union(*split) if w not in known])
+            self._learn(set().union(*split).difference(known))
             for words in split:
                 out.append(np.frombuffer(b"".join(map(known.__getitem__, words)), self.code))
         return out
@@ -216,11 +221,27 @@ def with_pieces(docs: DataFrame, model: Callable[[], str] | str, text: str = "te
 
 
 def encode(docs: DataFrame, model: Callable[[], str] | str, key: str = "doc_id",
-           text: str = "text") -> DataFrame:
+           text: str = "text", rows: int = 256) -> DataFrame:
     """``key, n_pieces, piece_ids, round_trip``; the last says that decoding gave the text."""
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    found = with_pieces(rows, model)
-    whole = F.translate(F.coalesce(F.col("text"), F.lit("")), MARK, " ")
-    return found.select(
-        F.col("id").alias(key), "n_pieces", "piece_ids", (F.col("decoded") == whole).alias("round_trip")
+    source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+
+    def work(batches):
+        table = pieces(model if isinstance(model, str) else model())
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
+                texts = part.column("text").to_pylist()
+                found = table.encode(texts)
+                offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+                same = [table.decode(f) == (t or "").replace(MARK, " ") for f, t in zip(found, texts)]
+                yield pa.RecordBatch.from_arrays([
+                    part.column("id"), pa.array([len(f) for f in found], pa.int64()),
+                    pa.ListArray.from_arrays(
+                        pa.array(offsets), pa.array(np.concatenate(found).astype(np.int32))
+                    ),
+                    pa.array(same, pa.bool_()),
+                ], names=[key, "n_pieces", "piece_ids", "round_trip"])
+
+    return source.mapInArrow(
+        work, f"`{key}` bigint, n_pieces bigint, piece_ids array<int>, round_trip boolean"
     )
