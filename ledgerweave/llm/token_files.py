@@ -20,11 +20,12 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Callable
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -145,67 +146,119 @@ class Shard:
         return self.tokens[self.bounds.select(index) : self.bounds.select(index + 1)]
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level alphabet: printable Latin-1 bytes stand for themselves, the others, in
+    order, for the letters from U+0100 on. The blank stays, as it parts pieces here."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(256 + i) for i, b in enumerate(rest) if b != 32}
+
+
 class WordEncoder:
-    """Encodes texts with a tokenizer that drops white space and never joins across it.
+    """Encodes texts with a lower-casing byte-level tokenizer that drops white space.
 
-    Each distinct word of a batch goes through the tokenizer once; a text is the ids of its
-    words end to end. Words are cut at blanks that every definition of white space has.
+    No piece crosses white space, so each distinct word goes through the tokenizer once and a
+    text is the ids of its words end to end. Words are cut at blanks that every definition of
+    white space has, and before single full stops and commas, which are pieces of their own.
+    A word of letters alone is one piece, which the tokenizer's model takes directly; all
+    others go through the whole tokenizer.
     """
 
-    REMEMBERED = 300_000
+    REMEMBERED = 300_000  # words of one generation; the one before it is kept as well
+    # Lower case depends on the place, or takes two letters.
+    FOLDED_ODDLY = re.compile("[\u03a3\u0130]")
+    # Marks side by side are one piece, and 's and the like split earlier.
+    JOINED = re.compile(r"[^\w\s][^\w\s]|_|'")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, width: int = 2):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {"": []}
-
-    def _words(self, text: str) -> list[str]:
-        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-
-    def _learn(self, words: list[str]) -> None:
-        whole = []
-        for word in words:
-            stem = word[:-1] if word[-1] in ".,;:!?" else word
-            if stem.isascii() and stem.isalpha():  # one piece, or a piece and its mark
-                ids = [t.id for t in self.tokenizer.model.tokenize(stem.lower())]
-                if len(stem) < len(word):
-                    ids += [t.id for t in self.tokenizer.model.tokenize(word[-1])]
-                self.known[word] = ids
-            else:
-                whole.append(word)
+        # The same model over pieces that are cut and folded already, side by side.
+        self.pieces = Tokenizer(self.tokenizer.model)
+        self.pieces.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends[number] = token.endswith("</w>")
+        self.dtype = np.dtype(f"<u{width}")
+        self.letters = _byte_letters()
+        self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+
+    def _words(self, text: str) -> tuple[list[str], bool]:
+        """Words, and whether they are folded and composed already."""
+        plain = text.isascii() or unicodedata.is_normalized("NFC", text)
+        # Special tokens are found before the case is folded.
+        plain = plain and "<|" not in text and not self.FOLDED_ODDLY.search(text)
+        if plain:
+            text = text.lower()
+            if not self.JOINED.search(text):
+                text = text.replace(".", " . ").replace(",", " , ")
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "), plain
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        """Ids of pieces by one call of the model; a piece ends where a token ends a word."""
+        joined = " ".join(pieces)
+        if not joined.isascii():
+            joined = joined.encode().decode("latin-1").translate(self.letters)
+        found = self.pieces.encode_batch_fast([joined], add_special_tokens=False)[0].ids
+        ids = np.array(found, self.dtype)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(pieces):
+            raise ValueError("the tokenizer does not mark the ends of words")
+        data = ids.tobytes()
+        ends = (stops * self.dtype.itemsize).tolist()
+        self.known.update(zip(pieces, map(data.__getitem__, map(slice, [0, *ends], ends))))
+
+    def _learn(self, words: set[str], plain: bool) -> None:
+        known, older = self.known, self.older
+        fresh = words.difference(known)
+        again = [w for w in fresh if w in older]
+        known.update(zip(again, map(older.__getitem__, again)))
+        if again:
+            fresh.difference_update(again)
+        letters = [w for w in fresh if w.isalpha()] if plain else []
+        if letters:
+            self._learn_pieces(letters)
+        whole = list(fresh.difference(letters))
         for word, found in zip(
             whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)
         ):
-            self.known[word] = found.ids
+            known[word] = self._pack(found.ids)
 
     def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
-        out = []
-        for start in range(0, len(texts), 256):
-            split = [self._words(t) if t else [] for t in texts[start : start + 256]]
+        out, end = [], self._pack([end_id])
+        for start in range(0, len(texts), 512):
+            split = [self._words(t or "") for t in texts[start : start + 512]]
             if len(self.known) > self.REMEMBERED:
-                self.known = {"": []}
-            self._learn([w for w in set(chain.from_iterable(split)) if w not in self.known])
-            for words in split:
-                ids = list(chain.from_iterable(map(self.known.__getitem__, words)))
-                ids.append(end_id)
-                out.append(np.array(ids, np.uint32))
+                self.older, self.known = self.known, {"": b""}
+            for plain in (True, False):
+                self._learn(set().union(*(words for words, p in split if p == plain)), plain)
+            look = self.known.__getitem__
+            for words, _ in split:
+                out.append(np.frombuffer(b"".join(map(look, words)) + end, self.dtype))
         return out
 
 
 _encoders: dict[str, WordEncoder] = {}
 
 
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, end_id: int) -> WordEncoder:
     """The worker's encoder; its memory of words lasts over the worker's tasks."""
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        encoder = WordEncoder(path)
+        if encoder.tokenizer.get_vocab_size() > 1 << 16 or end_id >= 1 << 16:
+            encoder = WordEncoder(path, width=4)
+        _encoders[path] = encoder
     return _encoders[path]
 
 
 def write(docs: DataFrame, scratch: Scratch, tokenizer: Callable[[], str] | str, key: str = "doc_id",
-          text: str = "text", end_id: int = 1, shard_bytes: int = 8 << 20,
+          text: str = "text", end_id: int = 1, shard_bytes: int = 3 << 20,
           shards: int | None = None) -> DataFrame:
     """Encode, write the files below ``scratch`` and return the manifest:
     ``shard, file, documents, tokens, start`` with the ids of all shards before it.
@@ -231,10 +284,9 @@ def write(docs: DataFrame, scratch: Scratch, tokenizer: Callable[[], str] | str,
         )
         rows = shard.take(order)
         path = tokenizer if isinstance(tokenizer, str) else tokenizer()
-        encoder = word_encoder(path)
-        width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
+        encoder = word_encoder(path, end_id)
         tokens = encoder.encode(rows.column("text").to_pylist(), end_id)
-        data = pack_shard(rows.column("id").to_pylist(), tokens, width)
+        data = pack_shard(rows.column("id").to_pylist(), tokens, encoder.dtype.itemsize)
         number = rows.column("shard")[0].as_py()
         name = f"shard-{number:06d}-{uuid.uuid4().hex}.ids"
         store, root = fs.FileSystem.from_uri(folder)
