@@ -2,19 +2,21 @@
 
 Documents with one shingle set are one class. A class representative has ``SIZE`` MinHash
 values; ``TREES`` sorted orders of the signature start at different places. Two
-representatives are neighbours in an order if they share its first ``FIRST`` values; a region
-of an order that holds more than ``REGION`` of them is cut at deeper values until it is small,
-so crowded regions compare at a longer common prefix and sparse ones at a short one.
+representatives are neighbours in an order if they share its first ``FIRST`` values. In a region
+of an order that holds more than ``REGION`` of them, all are held against its first member;
+those linked with it are in one cluster, and all pairs with one of the others are compared in
+cells of ``REGION``. So no pair that shares a prefix is left out, and a crowded region costs one
+comparison per member where they are copies, and up to all its pairs where they are not.
 
-Inside a region the signatures give estimated similarities, and a maximum spanning forest of
+Inside a region or cell the signatures give estimated similarities, and a maximum spanning forest of
 the pairs that may reach the threshold. The trees of all regions together make clusters: two
 representatives that share a region and may be linked are in one cluster, however many lie
 between them. Every cluster then decides all its pairs exactly on the full sets, by
 multiplying membership matrices in cells of bounded size, and gives back a spanning set of
-links. So no pair is ever a row, and a group of copies costs one row per member and order.
+links. So no pair is ever a row.
 
 At the default threshold a linked pair shares no prefix with probability under 1e-5 (1e-7 at
-0.85), and an estimate lies ``SLACK`` deviations below its value with probability 2e-5.
+0.85), in crowded regions and sparse ones alike, and an estimate lies ``SLACK`` deviations below its value with probability 2e-5.
 
 Defined results for unusual input: null, empty and blank texts have the empty set and are
 linked with nothing; a text shorter than a shingle is one shingle; rows with a null id are
@@ -37,7 +39,6 @@ from ledgerweave.llm.components import components
 
 SIZE, TREES, FIRST = 96, 24, 4
 REGION = 3_000
-DEEPEST = 48
 SLACK = 4.1
 BLOCK, BLOCK_SHINGLES = 2_048, 2_000_000
 OFTEN = 64  # a shingle in more sets of a cell is counted by matrix products
@@ -133,23 +134,6 @@ def _first_keys(batches):
             )
 
 
-def _deeper_keys(depth: int):
-    def work(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sigs, trees = _matrix(batch.column("sig")), batch.column("tree").to_numpy()
-            keys = np.empty(len(sigs), np.int64)
-            for tree in np.unique(trees):
-                keys[trees == tree] = _order_keys(sigs[trees == tree], int(tree), depth)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), batch.column("tree"), batch.column("id")],
-                names=["region", "tree", "id"],
-            )
-
-    return work
-
-
 def _sized(keys: DataFrame) -> DataFrame:
     """Members of regions with company, and how many each region has."""
     size = F.count("*").over(Window.partitionBy("region"))
@@ -159,57 +143,82 @@ def _sized(keys: DataFrame) -> DataFrame:
 def _regions(
     reps: DataFrame, scratch: Scratch, least: float, percent: int
 ) -> tuple[DataFrame, DataFrame | None]:
-    """``region, id`` of all small regions, and the pairs of each crowded region's first member."""
+    """``region, side, id`` of small regions and of the cells of crowded ones, and the links of
+    each crowded region's first member.
+
+    Members linked with the first one are in one cluster already. All other pairs of a crowded
+    region meet: the rest with one another and with the linked ones, in cells of two blocks.
+    """
     fields = "region bigint, tree int, id bigint"
     level = scratch.write(
-        f"level-{FIRST}", _sized(reps.select("id", "sig").mapInArrow(_first_keys, fields))
+        "level", _sized(reps.select("id", "sig").mapInArrow(_first_keys, fields))
     )
-    small, stars, depth = level.where(F.col("size") <= REGION).select("region", "id"), None, FIRST
+    small = level.where(F.col("size") <= REGION).select("region", F.lit(0).alias("side"), "id")
     crowded = level.where(F.col("size") > REGION)
-    while not crowded.isEmpty():
-        known = crowded.join(reps, "id")
-        first = known.groupBy("region").agg(
-            F.min("id").alias("a"), F.min_by(F.struct("n", "sig"), "id").alias("first")
-        )
-        star = known.join(first, "region").where("a <> id").select(
-            "a", F.col("first.n").alias("n_a"), F.col("first.sig").alias("sig_a"),
-            F.col("id").alias("b"), "n", "sig",
-        ).mapInArrow(_close(least, percent), "a bigint, b bigint")
-        stars = star if stars is None else stars.unionByName(star)
-        if depth >= DEEPEST:  # signatures agree: chunks, held together by the stars
-            chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / REGION))
-            small = small.unionByName(
-                crowded.select(F.xxhash64("region", chunk).alias("region"), "id")
-            )
-            break
-        depth += 2 if depth < 12 else 12
-        level = scratch.write(
-            f"level-{depth}",
-            _sized(known.select("tree", "id", "sig").mapInArrow(_deeper_keys(depth), fields)),
-        )
-        small = small.unionByName(level.where(F.col("size") <= REGION).select("region", "id"))
-        crowded = level.where(F.col("size") > REGION)
-    return small, stars
+    if crowded.isEmpty():
+        return small, None
+    known = crowded.join(reps, "id")
+    first = known.groupBy("region").agg(
+        F.min("id").alias("a"), F.min_by(F.struct("n", "sig"), "id").alias("first")
+    )
+    stars = scratch.write("stars", known.join(first, "region").where("a <> id").select(
+        "region", "a", F.col("first.n").alias("n_a"), F.col("first.sig").alias("sig_a"),
+        F.col("id").alias("b"), "n", "sig",
+    ).mapInArrow(_close(least, percent), "region bigint, a bigint, b bigint"))
+    # The first member itself has met all the others.
+    rest = crowded.join(first.select("region", F.col("a").alias("id")), ["region", "id"], "left_anti")
+    near = stars.select("region", F.col("b").alias("id"), F.lit(True).alias("near"))
+    marked = scratch.write("crowded", rest.join(near, ["region", "id"], "left").select(
+        "region", "id", F.coalesce("near", F.lit(False)).alias("near")
+    ))
+    half = REGION // 2
+    counts = marked.groupBy("region").agg(
+        F.ceil(F.count_if(~F.col("near")) / half).alias("apart"),
+        F.ceil(F.count_if("near") / half).alias("linked"),
+    )
+    block = F.when(
+        F.col("near"), F.col("apart") + F.pmod(F.xxhash64("id"), F.col("linked"))
+    ).otherwise(F.pmod(F.xxhash64("id"), F.col("apart")))
+    met = F.when(F.col("near"), F.col("apart")).otherwise(F.col("apart") + F.col("linked"))
+    dealt = marked.join(counts, "region").where("apart > 0").select(
+        "region", "id", block.alias("block"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), met - 1)).alias("other"),
+    )
+    cells = dealt.select(
+        F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other")).alias("region"),
+        F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1)
+        .otherwise(2).alias("side"),
+        "id",
+    )
+    return small.unionByName(cells), stars.select("a", "b")
 
 
 def _close(least: float, percent: int):
     """Of listed pairs with both signatures, those whose estimate is ``least`` or more."""
     def work(batches):
         for batch in batches:
+            if not batch.num_rows:
+                continue
             a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
             n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n").to_numpy()
             alike = (_matrix(batch.column("sig_a")) == _matrix(batch.column("sig"))).mean(axis=1)
             sized = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
             keep = sized & (alike >= least)
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+            region = batch.column("region").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(region[keep]), pa.array(a[keep]), pa.array(b[keep])],
+                names=["region", "a", "b"],
+            )
 
     return work
 
 
 def _spanning(least: float, percent: int):
-    """Links of a maximum spanning forest over estimates of at least ``least`` in a region."""
+    """Links of a maximum spanning forest over estimates of at least ``least`` in a region;
+    in a cell of two blocks, sides 1 and 2, over the pairs between them."""
     def work(region: pa.Table) -> pa.Table:
         ids, sizes = region.column("id").to_numpy(), region.column("n").to_numpy()
+        side = region.column("side").to_numpy()
         sigs = _matrix(region.column("sig"))
         best = np.full(len(ids), -1.0)
         link = np.full(len(ids), -1)
@@ -218,6 +227,8 @@ def _spanning(least: float, percent: int):
         for _ in range(len(ids) - 1):
             open_[at] = False
             alike = _alike(sigs, sizes, at, percent)
+            if side[at]:
+                alike[side == side[at]] = -1.0
             closer = alike > best
             best[closer], link[closer] = alike[closer], at
             at = int(np.where(open_, best, -2.0).argmax())
@@ -383,5 +394,5 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     ).withColumn("component_id", F.when(F.col(key).isNotNull(), F.col("component_id"))
     ).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
     done = scratch.write("result", result)
-    scratch.drop("described", "classes", "clusters", *(f"level-{d}" for d in range(DEEPEST + 12)))
+    scratch.drop("described", "classes", "clusters", "level", "stars", "crowded")
     return done

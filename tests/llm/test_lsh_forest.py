@@ -112,3 +112,42 @@ def test_odd_rows(spark, docs_of):
     assert by_id[7][1:] == (7, True) and by_id[8][1:] == (7, False) and by_id[6][0] == 1
     assert [r[2:] for r in got if r[0] is None] == [(None, True), (None, True)]
     assert lsh_forest.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_crowded_regions_lose_no_pair(spark, docs_of, monkeypatch):
+    """Signatures that agree by half: pairs that share a prefix stay together, however crowded."""
+    monkeypatch.setattr(lsh_forest, "REGION", 30)
+    rng = np.random.default_rng(6)
+    sigs = rng.choice(3, (1500, lsh_forest.SIZE), p=(0.66, 0.2, 0.14)).astype(np.uint16)
+    near = sigs[:500].copy()
+    changed = rng.random(near.shape) < 0.25
+    near[changed] = rng.choice(3, int(changed.sum()), p=(0.66, 0.2, 0.14))
+    sigs[500:1000] = near
+    least = 0.7
+    want = set()
+    for tree in range(lsh_forest.TREES):
+        regions = {}
+        for i, prefix in enumerate(sigs[:, 4 * tree : 4 * tree + 4].tolist()):
+            regions.setdefault(tuple(prefix), []).append(i)
+        for ids in regions.values():
+            alike = (sigs[ids][:, None, :] == sigs[ids][None, :, :]).mean(axis=2) >= least
+            want |= {(ids[a], ids[b]) for a, b in zip(*np.nonzero(alike)) if a < b}
+    reps = spark.createDataFrame(
+        [(i, 100, bytearray(s.tobytes())) for i, s in enumerate(sigs)], "id bigint, n bigint, sig binary"
+    )
+    members, stars = lsh_forest._regions(reps, Scratch(spark, "regions"), least, 80)
+    found = members.join(reps, "id").groupBy("region").applyInArrow(
+        lsh_forest._spanning(least, 80), "a bigint, b bigint"
+    ).unionByName(stars.select("a", "b"))
+    links = {(min(r), max(r)) for r in map(tuple, found.collect())}
+    assert links <= want
+    root = list(range(1500))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    assert len(want) > 450 and [p for p in want if find(p[0]) != find(p[1])] == []
