@@ -146,7 +146,7 @@ def likeness(left: Column, right: Column) -> Column:
 
 
 def _kept_by_join(frame: DataFrame, terms: str, found: DataFrame, into: str) -> DataFrame:
-    """Lexicon terms of each row by a shuffled join; ``_row`` names rows."""
+    """Lexicon terms of each row by a shuffled join; ``_row`` names rows and is read from a table."""
     pairs = frame.select("_row", F.explode(terms).alias("term")).join(found.select("term"), "term")
     lists = pairs.groupBy("_row").agg(F.collect_list("term").alias(into))
     return frame.join(lists, "_row", "left").withColumn(
@@ -160,7 +160,10 @@ def fingerprints(docs: DataFrame, texts: list[str], lexicon_text: str | None = N
     band = lexicon(docs, lexicon_text or texts[0]) if found is None else found
     size = band.count()
     constant = _Band(band, size) if size <= constant_terms else None
-    out = docs if constant else docs.withColumn("_row", F.expr("uuid()"))
+    out = docs
+    if not constant:  # written, so that both sides of the joins read the same names
+        named = docs.withColumn("_row", F.expr("uuid()"))
+        out = Scratch(docs.sparkSession, "lexicon-rows").write("named", named)
     for name in texts:
         out = out.withColumn("_terms", terms_of(F.col(name)))
         if constant:
@@ -218,12 +221,13 @@ def edited(text: Column, following: Column) -> Column:
     )
 
 
-def compare_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def compare_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
+                       constant_terms: int = CONSTANT_TERMS) -> DataFrame:
     """Fingerprints of every text, of its edited text, and how near the edit and the next are."""
     band = lexicon(docs, text)
     rows, order = with_next(docs, key, text)
     rows = rows.withColumn("edit", F.when(~F.col("ghost"), edited(F.col("text"), F.col("next"))))
-    rows = fingerprints(rows.drop("next"), ["text", "edit"], found=band)
+    rows = fingerprints(rows.drop("next"), ["text", "edit"], None, constant_terms, band)
     rows = rows.withColumn("next_hashes", F.lead("text_hashes").over(order))
     return rows.where("NOT ghost").select(
         F.col("id").alias(key), F.char_length("text").cast("long").alias("n_chars"),

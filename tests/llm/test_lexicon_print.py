@@ -112,3 +112,10 @@ def test_both_ways_to_meet_the_lexicon(spark, limit):
     for r in found:
         assert r["text_hashes"] == brute(r["text"], names)
     assert math.isclose(lp.lexicon(docs.withColumn("text", F.lit("same"))).count(), 0)
+
+
+def test_compare_by_join_over_many_partitions(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("n_chars < 3000").select("doc_id", "text")
+    docs = docs.repartition(7)
+    texts = sorted(map(tuple, docs.collect()), reverse=True)
+    check(lp.compare_with_edits(docs, constant_terms=0).collect(), texts)
