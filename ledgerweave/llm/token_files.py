@@ -167,8 +167,10 @@ class WordEncoder:
     REMEMBERED = 300_000  # words of one generation; the one before it is kept as well
     # Lower case depends on the place, or takes two letters.
     FOLDED_ODDLY = re.compile("[\u03a3\u0130]")
-    # Marks side by side are one piece, and 's and the like split earlier.
-    JOINED = re.compile(r"[^\w\s][^\w\s]|_|'")
+    # Marks side by side are one piece, and 's and the like split earlier. The tokenizer takes
+    # U+001C to U+001F for marks, which are white space to Python: the blanks are listed here.
+    BLANKS = r" \t\n\r\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+    JOINED = re.compile(rf"[^\w{BLANKS}][^\w{BLANKS}]|_|'")
 
     def __init__(self, path: str, width: int = 2):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

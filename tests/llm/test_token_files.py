@@ -67,3 +67,11 @@ def test_empty_table_and_random_access(spark, docs_of):
     assert [shard.doc_id(i) for i in range(3)] == [4, None, 9]
     with pytest.raises(ValueError, match="not a token file"):
         token_files.Shard(b"x" * 100)
+
+
+def test_control_characters_beside_marks():
+    whole, encoder = Tokenizer.from_file(PATH), token_files.WordEncoder(PATH)
+    controls = [chr(c) for c in (*range(32), *range(127, 161), 0x1680, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)]
+    texts = [f for c in controls for m in ".,!" for f in (f"a{m}{c}b", f"a{c}{m}b", f"a {c}{m}", f"{m}{c} b", f"a{m}{c}{m}b")]
+    for text, found in zip(texts, encoder.encode(texts, 1)):
+        assert found.tolist() == whole.encode(text, add_special_tokens=False).ids + [1], repr(text)
