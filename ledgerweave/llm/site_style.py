@@ -15,7 +15,8 @@ elements around it, so a node's content is that of its whole branch. Branches be
 
 Names overrule the entropies where a host has too few pages to tell: branches whose tag, role,
 class or id says navigation, footer, advert, form, comment and so on are always removed;
-``article`` and ``main`` are never removed, and where a page has them, the text is theirs. If
+``article`` and ``main`` are never removed, nor is what stands around them, and where a page has
+them, the text is theirs. If
 a page would lose all its text to entropies alone, they are not applied to it.
 
 Text rules: character references are decoded, white space inside a block becomes one space,
@@ -191,14 +192,23 @@ class Page:
 
     def _dropped(self, low) -> list[bool]:
         """Per element, whether it or one around it is removed."""
-        out = []
+        noise: list[bool] = []
         inside: list[bool] = []
         for i, parent in enumerate(self.parent):
-            protected = parent >= 0 and (inside[parent] or self.main[i]) or self.main[i]
-            inside.append(protected)
+            noise.append((parent >= 0 and noise[parent]) or self.noise[i])
+            inside.append(parent >= 0 and inside[parent] or self.main[i])
+        around = [False] * len(noise)
+        for i, main in enumerate(self.main):
+            if main and not noise[i]:
+                at = self.parent[i]
+                while at >= 0 and not around[at]:
+                    around[at] = True
+                    at = self.parent[at]
+        out: list[bool] = []
+        for i, parent in enumerate(self.parent):
+            kept = inside[i] or around[i] or self.frame[i]
             out.append(
-                (parent >= 0 and out[parent]) or self.noise[i]
-                or (not protected and not self.frame[i] and self.key[i] in low)
+                (parent >= 0 and out[parent]) or noise[i] or (not kept and self.key[i] in low)
             )
         return out
 

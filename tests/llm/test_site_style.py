@@ -69,3 +69,12 @@ def test_a_page_keeps_its_text_if_entropies_would_take_all(spark):
     rows = [(i, "http://c.example/", "<div>copy of one text</div>") for i in range(30)]
     got = site_style.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
     assert {r["text"] for r in got.collect()} == {"copy of one text"}
+
+
+def test_what_stands_around_an_article_is_kept(spark):
+    """A host of copies: all that repeats has importance 0, also the article's wrapper."""
+    for article in ("<article>the copied text</article>", "<div role=main>the copied text</div>"):
+        rows = [(i, "http://d.example/", f"<div class=wrap><div>{article}</div></div><div class=meta>unique {i}</div>")
+                for i in range(30)]
+        got = site_style.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+        assert {r["text"] for r in got.collect()} == {"the copied text"}
