@@ -31,6 +31,8 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections.abc import Iterator
+from itertools import islice
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -44,7 +46,7 @@ from ledgerweave.llm.common import Scratch, per_batch
 DECAY = 0.9
 THRESHOLD = 0.35
 SENT_NODES = 2_000_000  # removed nodes that may be sent to every task: 16 MB
-DEEPEST = 64  # elements below are parts of the element at this depth
+ROWS = 200_000  # statistics that leave a task together
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>",
@@ -111,6 +113,7 @@ class Page:
     def __init__(self, html: str, host: str):
         self.parent, self.name, self.noise, self.main = [-1], ["#" + host], [False], [False]
         self.key = [xxhash.xxh3_64_intdigest(host.encode()) >> 1]
+        self.inside = [False]  # whether it or one around it is an article or main
         self.frame = [True]  # what every page is made of: never a branch to remove
         self.runs: list[tuple[int, str]] = []  # element, text; "" separates blocks
         self._parse(html)
@@ -127,22 +130,16 @@ class Page:
         self.parent.append(parent)
         self.name.append(label)
         self.main.append(main)
+        self.inside.append(main or self.inside[parent])
         self.frame.append(tag in ("html", "body"))
         self.noise.append(
             tag in NOISE_TAGS
-            or (tag == "header" and not self._inside_main(parent))
+            or (tag == "header" and not self.inside[parent])
             or (any(map(noise_name, classes)) and (not body or tag == "article"))
         )
         self.key.append(xxhash.xxh3_64_intdigest(label, self.key[parent]) >> 1)
         return len(self.parent) - 1
 
-    def _inside_main(self, at: int) -> bool:
-        while at >= 0:
-            if self.main[at]:
-                return True
-            at = self.parent[at]
-        return False
-
     def _parse(self, html: str) -> None:
         stack: list[tuple[str, int]] = [("", 0)]
         at, end = 0, len(html)
@@ -168,9 +165,7 @@ class Page:
                 self.runs.append((stack[-1][1], ""))
             if tag in VOID:
                 continue
-            element = (
-                self._open(stack[-1][1], tag, match[3]) if len(stack) <= DEEPEST else stack[-1][1]
-            )
+            element = self._open(stack[-1][1], tag, match[3])
             if tag in RAW:  # its content is text up to its own end tag
                 stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
                 if tag not in NOISE_TAGS and tag != "title":
@@ -193,10 +188,8 @@ class Page:
     def _dropped(self, low) -> list[bool]:
         """Per element, whether it or one around it is removed."""
         noise: list[bool] = []
-        inside: list[bool] = []
         for i, parent in enumerate(self.parent):
             noise.append((parent >= 0 and noise[parent]) or self.noise[i])
-            inside.append(parent >= 0 and inside[parent] or self.main[i])
         around = [False] * len(noise)
         for i, main in enumerate(self.main):
             if main and not noise[i]:
@@ -206,7 +199,7 @@ class Page:
                     at = self.parent[at]
         out: list[bool] = []
         for i, parent in enumerate(self.parent):
-            kept = inside[i] or around[i] or self.frame[i]
+            kept = self.inside[i] or around[i] or self.frame[i]
             out.append(
                 (parent >= 0 and out[parent]) or noise[i] or (not kept and self.key[i] in low)
             )
@@ -231,37 +224,46 @@ class Page:
         plain = self._dropped(())
         return self._text(lambda at: not plain[at])
 
-    def statistics(self) -> set[tuple[int, int, int]]:
-        """Rows (node, kind, value): kind 1 the style of a node, kind 0 a text below it."""
-        rows: set[tuple[int, int, int]] = set()
+    def statistics(self) -> Iterator[tuple[int, int, int]]:
+        """Distinct rows (node, kind, value): kind 1 the style of a node, kind 0 a text below it."""
         children: dict[int, list[str]] = {}
         for i in range(1, len(self.parent)):
             names = children.setdefault(self.parent[i], [])
             if not names or names[-1] != self.name[i]:  # a run of equal elements counts as one
                 names.append(self.name[i])
-        for i in range(1, len(self.parent)):
-            style = xxhash.xxh3_64_intdigest("|".join(children.get(i, ()))) >> 1
-            rows.add((self.key[i], 1, style))
+        yield from {
+            (self.key[i], 1, xxhash.xxh3_64_intdigest("|".join(children.get(i, ()))) >> 1)
+            for i in range(1, len(self.parent))
+        }
+        places: dict[int, list[int]] = {}
         for at, text in self.runs:
             words = " ".join(text.split())
             if words:
-                value = xxhash.xxh3_64_intdigest(words) >> 1
-                while at > 0:
-                    rows.add((self.key[at], 0, value))
+                places.setdefault(xxhash.xxh3_64_intdigest(words) >> 1, []).append(at)
+        for value, holders in places.items():  # one text at a time: pages may be deep
+            met: set[int] = set()
+            for at in holders:
+                while at > 0 and at not in met:
+                    met.add(at)
                     at = self.parent[at]
-        return rows
+            for node in {self.key[at] for at in met}:
+                yield node, 0, value
 
 
 def _statistics(batches):
     names = ("node", "kind", "value")
-    for batch in batches:
+
+    def rows(batch):
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
-            rows: list[tuple[int, int, int]] = []
             for url, html in zip(part.column("url").to_pylist(), part.column("html").to_pylist()):
                 if html:
-                    rows.extend(Page(html, host_of(url)).statistics())
-            table = np.array(rows, np.int64).reshape(-1, 3)
+                    yield from Page(html, host_of(url)).statistics()
+
+    for batch in batches:
+        found = rows(batch)
+        while some := list(islice(found, ROWS)):
+            table = np.array(some, np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in table.T], names=names)
 
 

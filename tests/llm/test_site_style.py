@@ -78,3 +78,12 @@ def test_what_stands_around_an_article_is_kept(spark):
                 for i in range(30)]
         got = site_style.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
         assert {r["text"] for r in got.collect()} == {"the copied text"}
+
+
+def test_elements_of_any_depth_are_opened():
+    for deep in ("<div>" * 100, "<b>" * 3000):
+        assert Page(f"{deep}<nav>no</nav>yes", "h").text(frozenset()) == "yes"
+        assert Page(f"menu{deep}<article>real<aside>z</aside></article>", "h").text(frozenset()) == "real"
+        page = Page(f"{deep}x<i>y</i>", "h")
+        rows = list(page.statistics())
+        assert len(rows) == len(set(rows)) == 3 * (len(page.key) - 1) - 1  # styles, x, y; x is not in i
