@@ -111,26 +111,27 @@ def op4_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after three batches over all documents, the last one sent twice.
 
     Documents arrive with a rough count (a quarter of their characters), are revised to their
-    real counts, and exact copies are deleted again, all but the one with the smallest id.
+    real counts, and exact copies are deleted again, all but the one with the smallest id; a
+    null id is the largest, and of rows that share the smallest id one stays.
     """
     docs = table(spark, sf_dir, "documents")
     scratch = Scratch(spark, "op4")
-    counted = scratch.write("counted", token_rollup.count_tokens(docs, TOKENIZERS))
     rough = F.floor(F.coalesce(F.char_length("text"), F.lit(0)) / 4)
+    told = docs.select("*", rough.alias("old"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("mark"))
+    # Ids may be null or repeat: rows get names, and the table fixes them.
+    counted = scratch.write("counted", token_rollup.count_tokens(
+        told, TOKENIZERS, carry={"old": "bigint", "mark": "string"}
+    ).withColumn("row", F.expr("uuid()")))
     arrived = docs.select("source", "lang", F.array(*(
         F.struct(F.lit(n).alias("tokenizer"), rough.alias("tokens")) for n in TOKENIZERS
     )).alias("counts"))
-    roughly = docs.select(F.col("doc_id").alias("id"), rough.alias("old"))
-    marks = docs.select(
-        F.col("doc_id").alias("id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("mark")
-    )
-    first = marks.groupBy("mark").agg(F.min("id").alias("first"))
-    copies = marks.join(first, "mark").where("id <> first").select("id")
+    first = counted.groupBy("mark").agg(
+        F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("first")
+    ).select(F.col("first.row").alias("row"))
     rollup = token_rollup.Rollup(spark, scratch.path("rollup"))
     rollup.commit("arrived", token_rollup.changes(arrived, "insert"))
-    revised = counted.join(roughly, "id")
-    rollup.commit("revised", token_rollup.changes(revised, "revise", "old"))
-    gone = token_rollup.changes(counted.join(copies, "id", "left_semi"), "delete")
+    rollup.commit("revised", token_rollup.changes(counted, "revise", "old"))
+    gone = token_rollup.changes(counted.join(first, "row", "left_anti"), "delete")
     rollup.commit("copies", gone)
     rollup.commit("copies", gone)
     scratch.drop("counted")

@@ -135,36 +135,43 @@ def _encoding(path: str, pattern: str):
 
 def count_tokens(docs: DataFrame, tokenizers: dict[str, Callable[[], tuple[str, str]]],
                  key: str = "doc_id", text: str = "text", source: str = "source",
-                 lang: str = "lang") -> DataFrame:
-    """``id, source, lang`` and one count per tokenizer version, for every whole text.
+                 lang: str = "lang", carry: dict[str, str] | None = None) -> DataFrame:
+    """``id, source, lang``, one count per tokenizer version, for every whole text, and the
+    columns of ``carry``, given with their type, bigint or string.
 
     A tokenizer is a function that gives, on the executor, the path of its ranks and the
     pattern that splits a text.
     """
-    names = list(tokenizers)
+    names, carry = list(tokenizers), carry or {}
+    kinds = {"bigint": pa.int64(), "string": pa.string()}
     schema = pa.schema([("id", pa.int64()), ("source", pa.string()), ("lang", pa.string()),
-                        *((f"n{i}", pa.int64()) for i in range(len(names)))])
+                        *((f"n{i}", pa.int64()) for i in range(len(names))),
+                        *((f"c{i}", kinds[t]) for i, t in enumerate(carry.values()))])
 
     def work(cols):
         out = {"id": cols["id"], "source": cols["source"], "lang": cols["lang"]}
         for i, name in enumerate(names):
             encode = _encoding(*tokenizers[name]()).encode_ordinary
             out[f"n{i}"] = [len(encode(t)) if t else 0 for t in cols["text"]]
+        for i in range(len(carry)):
+            out[f"c{i}"] = cols[f"c{i}"]
         return out
 
     rows = docs.select(
         F.col(key).cast("long").alias("id"), F.col(source).cast("string").alias("source"),
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
+        *(F.col(c).cast(t).alias(f"c{i}") for i, (c, t) in enumerate(carry.items())),
     )
     fields = "id bigint, source string, lang string" + "".join(
         f", n{i} bigint" for i in range(len(names))
-    )
+    ) + "".join(f", c{i} {t}" for i, t in enumerate(carry.values()))
     counted = rows.mapInArrow(per_batch(work, schema), fields)
     per_tokenizer = F.array(*(
         F.struct(F.lit(name).alias("tokenizer"), F.col(f"n{i}").alias("tokens"))
         for i, name in enumerate(names)
     ))
-    return counted.select("id", "source", "lang", per_tokenizer.alias("counts"))
+    return counted.select("id", "source", "lang", per_tokenizer.alias("counts"),
+                          *(F.col(f"c{i}").alias(c) for i, c in enumerate(carry)))
 
 
 def changes(counted: DataFrame, kind: str, old: str | None = None) -> DataFrame:

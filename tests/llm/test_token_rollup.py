@@ -68,3 +68,18 @@ def test_counts_of_odd_texts(spark, docs_of):
     got = token_rollup.count_tokens(docs, {"v": queries.byte_bpe_ranks}).collect()
     assert sorted(r["counts"][0]["tokens"] for r in got) == [0, 0, 1, 1]
     assert public_tokenizers and Counter(r["id"] for r in got) == {None: 1, 1: 3}
+
+
+def test_query_with_null_and_repeated_ids(spark, docs_of, tmp_path):
+    texts = ["hello there, world " * 5, "another text of some words", "x" * 40]
+    rows = [(None, texts[0]), (None, texts[0], "de"), (3, texts[0], "fr"), (None, texts[1]), (7, texts[2]),
+            (7, texts[2]), (7, None), (None, None, "de")]
+    docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {(r["lang"], r["tokenizer"]): (r["documents"], r["tokens"])
+             for r in queries.op4_token_rollup(spark, str(tmp_path)).collect()}
+    want = {}
+    for name, ranks in queries.TOKENIZERS.items():
+        encode = token_rollup._encoding(*ranks()).encode_ordinary
+        one, two, three = (len(encode(t)) for t in texts)
+        want |= {("fr", name): (1, one), ("en", name): (3, two + three)}
+    assert found == want
