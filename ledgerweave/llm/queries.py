@@ -1,4 +1,4 @@
-"""The eleven registered queries of the training-data operators, and their SQL."""
+"""The registered queries of the training-data operators, and their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerweave.llm import (
     chat_log,
+    content_sort,
     context_tree,
+    count_cells,
     language_id,
     lexicon_print,
     lsh_forest,
@@ -16,6 +18,7 @@ from ledgerweave.llm import (
     string_tiling,
     token_files,
     token_rollup,
+    turn_repair,
 )
 from ledgerweave.llm.common import Scratch, ship
 
@@ -209,6 +212,145 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of each language held against each other, and their most divergent terms."""
+    return count_cells.divergence(table(spark, sf_dir, "documents"), least=30, ranks=50)
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+kept AS (
+  SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (
+  SELECT g.lang, g.source, k.term, k.total, coalesce(n.n, 0) AS n
+  FROM g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) n
+    ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+p AS (
+  SELECT lang, source, term, n,
+    1 + CAST(1000000000 * CAST(n + 5 AS HUGEINT) // (sum(n) OVER s + 5 * count(*) OVER s) AS BIGINT) AS p,
+    1 + CAST(1000000000 * CAST(total + 5 AS HUGEINT) // (sum(total) OVER s + 5 * count(*) OVER s) AS BIGINT) AS q
+  FROM c WINDOW s AS (PARTITION BY lang, source)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(v.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, CAST(sum(abs(x.p - y.p)) AS BIGINT) AS value
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) v
+    ON v.lang = a.lang AND v.source = a.source AND v.item = b.source),
+every AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part
+    ORDER BY value DESC, item) AS INTEGER) AS rank FROM every)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of identical texts over all documents; the largest id stays."""
+    return content_sort.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
+
+
+OP12_SQL = r"""
+SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size,
+  row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+  sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations and their cheapest repair."""
+    turns = table(spark, sf_dir, "conversations")
+    report, rows = turn_repair.repair(turn_repair.damaged(turns), turns)
+    digests = turn_repair.digests(rows).withColumnRenamed("conv_id", "_conv")
+    joined = report.join(digests, report["conv_id"].eqNullSafe(digests["_conv"]), "left").drop("_conv")
+    return joined.withColumn("repaired_sha256", F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE o AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS mark
+  FROM conversations),
+bytes AS (
+  SELECT mark, list_transform(range(1, CAST(strlen(mark) AS BIGINT) + 1), lambda i: ord(mark[i])) AS b
+  FROM (SELECT DISTINCT mark FROM o)),
+crc AS (
+  SELECT mark, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(b, lambda x: CAST(x AS BIGINT))),
+    lambda h, x: list_reduce(list_prepend(xor(h, x), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+      lambda r, z: xor(r >> 1, CAST(3988292384 AS BIGINT) * (r & 1)))), CAST(4294967295 AS BIGINT)) AS crc
+  FROM bytes),
+d AS (
+  SELECT conv_id, turn, CASE WHEN crc % 20 = 4 THEN 'user' ELSE role END AS role,
+    CASE crc % 20 WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN crc % 20 = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM o JOIN crc USING (mark) WHERE crc % 20 <> 0),
+f AS (
+  SELECT *, row_number() OVER c AS i, left(role, 1) AS initial, lag(left(role, 1)) OVER c AS before,
+    NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS empty,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
+  FROM d WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+r AS (
+  SELECT *, CASE WHEN empty THEN 'b' WHEN again THEN 'd'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault FROM f),
+sums AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+    count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id),
+rule(a, initial, b) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+-- At most two insertions in a row: three would end where one does.
+step AS (
+  SELECT a, b, 5 AS cost, 'I' AS audit, [initial] AS made FROM rule WHERE initial <> 's'
+  UNION ALL SELECT x.a, y.b, 10, 'II', [x.initial, y.initial]
+    FROM rule x JOIN rule y ON x.b = y.a WHERE x.initial <> 's' AND y.initial <> 's'
+  UNION ALL SELECT s, s, 0, '', [] FROM (VALUES (0), (1), (2), (3)) v(s)),
+edit AS (
+  SELECT r.conv_id, r.i, e.a, e.b, e.cost, e.audit,
+    CASE e.audit WHEN 'K' THEN role || ':' || text WHEN 'R' THEN e.who || ':' || text END AS line
+  FROM r JOIN (
+    SELECT a, b, 0 AS cost, 'K' AS audit, initial, NULL AS who FROM rule
+    UNION ALL SELECT a, b, 1, 'R', initial, CASE initial WHEN 'u' THEN 'user' ELSE 'assistant' END
+      FROM rule WHERE initial <> 's'
+    UNION ALL SELECT s, s, 2, 'D', NULL, NULL FROM (VALUES (0), (1), (2), (3)) v(s)) e
+  ON e.audit = 'D' OR (r.fault NOT IN ('b', 'd') AND (e.audit = 'R' OR e.initial = r.initial))),
+priced AS (
+  SELECT e.conv_id, e.i, s.a, e.b,
+    s.cost + e.cost + CASE WHEN e.audit <> 'D' AND r.fault = 't' THEN 5 ELSE 0 END AS cost,
+    s.audit || e.audit AS audit,
+    list_transform(s.made, lambda x: CASE x WHEN 'u' THEN 'user:' ELSE 'assistant:' END)
+      || CASE WHEN e.line IS NULL THEN [] ELSE [e.line] END AS lines
+  FROM edit e JOIN step s ON s.b = e.a JOIN r ON r.conv_id IS NOT DISTINCT FROM e.conv_id AND r.i = e.i),
+best(conv_id, i, state, w) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), 0, {'cost': 0, 'audit': '', 'lines': CAST([] AS VARCHAR[])} FROM sums
+  UNION ALL
+  SELECT b.conv_id, p.i, p.b, min({'cost': b.w.cost + p.cost, 'audit': b.w.audit || p.audit, 'lines': b.w.lines || p.lines})
+  FROM best b JOIN priced p ON p.conv_id IS NOT DISTINCT FROM b.conv_id AND p.i = b.i + 1 AND p.a = b.state
+  GROUP BY b.conv_id, p.i, p.b),
+last AS (
+  SELECT s.conv_id, min({'cost': b.w.cost + t.cost, 'audit': b.w.audit || t.audit, 'lines': b.w.lines
+    || list_transform(t.made, lambda x: CASE x WHEN 'u' THEN 'user:' ELSE 'assistant:' END)}) AS w
+  FROM sums s JOIN best b ON b.conv_id IS NOT DISTINCT FROM s.conv_id AND b.i = s.n
+  JOIN step t ON t.a = b.state AND t.b IN (0, 3) GROUP BY s.conv_id)
+SELECT k.conv_id, coalesce(s.gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(l.w.cost, 0) AS BIGINT) AS cost, coalesce(l.w.audit, '') AS audit,
+  sha256(coalesce(array_to_string(l.w.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k
+LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM k.conv_id
+LEFT JOIN last l ON l.conv_id IS NOT DISTINCT FROM k.conv_id
+"""
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_chat_formatting": op2_chat_formatting,
@@ -220,8 +362,14 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
+    "op11_divergence_audit": op11_divergence_audit,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_structure_repair": op13_structure_repair,
 }
 ORACLE = {
     "op2_chat_formatting": OP2_SQL,
     "op9_near_duplicates": OP9_SQL,
+    "op11_divergence_audit": OP11_SQL,
+    "op12_exact_dedup": OP12_SQL,
+    "op13_structure_repair": OP13_SQL,
 }
