@@ -95,7 +95,7 @@ def rejects(tx: DataFrame, activity: DataFrame, case: DataFrame) -> DataFrame:
         )
 
     return (
-        of(tx, "S2", "transaction", "transaction_id", F.col("amount"))
+        of(tx, "S2", "transaction", "transaction_id", F.col("amount").try_cast("decimal(15,2)"))
         .unionByName(of(activity, "S3", "activity", "activity_id", no_amount))
         .unionByName(of(case, "S3", "service_case", "case_id", no_amount))
     )

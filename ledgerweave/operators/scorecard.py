@@ -1,20 +1,19 @@
 """Declarative data-quality scorecard.
 
 A check counts rows that break a rule and compares the count with what is
-expected. All row-level checks of a table run in one pass over it; only key,
-orphan and group checks need a shuffle of their own.
+expected. All checks of all tables run in one pass over each table and share one
+shuffle of counted keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweave.operators.union import union_all
+from ledgerweave.operators import one_scan
 
 
 @dataclass(frozen=True)
@@ -50,75 +49,38 @@ class Check:
     more: tuple[tuple[str, str], ...] = field(default=())
 
 
-ONE_PASS = ("rows", "where", "format", "window")
-
-
-def _measure(check: Check) -> Column:
-    """Aggregate expression of a row-level check."""
+def _condition(check: Check) -> str:
+    """Which rows a row-level check counts."""
     if check.kind == "rows":
-        return F.count(F.lit(1))
+        return "true"
     if check.kind == "format":
-        return F.count_if(~F.col(check.columns[0]).rlike(check.pattern))
+        return f"NOT {check.columns[0]} RLIKE r'{check.pattern}'"
     if check.kind == "window":
-        ts = F.col(check.columns[0])
-        lo, hi = (F.lit(v).cast("timestamp_ntz") for v in (check.lo, check.hi))
-        return F.count_if((ts < lo) | (ts >= hi))
-    return F.count_if(F.expr(check.condition))
-
-
-def _filtered(df: DataFrame, check: Check) -> DataFrame:
-    return df.where(F.expr(check.condition)) if check.condition else df
+        ts = check.columns[0]
+        return f"{ts} < TIMESTAMP_NTZ '{check.lo}' OR {ts} >= TIMESTAMP_NTZ '{check.hi}'"
+    return check.condition
 
 
-def _duplicates(df: DataFrame, check: Check) -> Column | DataFrame:
-    keyed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in check.columns])
-    groups = df.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg((F.coalesce(F.sum("n"), F.lit(0)) - F.count_if(keyed)).alias("observed"))
-
-
-def _orphans(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
-    keys = [f"_k{i}" for i in range(len(check.columns))]
-    left = _filtered(tables[check.table], check).select(
-        *[F.expr(c).alias(k) for c, k in zip(check.columns, keys)]
-    )
-    right = tables[check.other].select(
-        *[F.expr(c).alias(k) for c, k in zip(check.other_columns, keys)]
-    )
-    return left.join(right, keys, "left_anti").agg(F.count(F.lit(1)).alias("observed"))
-
-
-def _groups(df: DataFrame, check: Check) -> DataFrame:
-    groups = _filtered(df, check).groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n"))
-    return groups.where(F.expr(check.having)).agg(F.count(F.lit(1)).alias("observed"))
+def _questions(check: Check) -> Iterable[one_scan.Question]:
+    if check.kind == "duplicates":
+        yield one_scan.spare_rows(check.name, check.table, check.columns)
+    elif check.kind == "orphans":
+        yield one_scan.orphans(
+            check.name, check.table, check.columns, check.other, check.other_columns, check.condition
+        )
+    elif check.kind == "groups":
+        yield one_scan.groups(check.name, check.table, check.columns, check.having, check.condition)
+    else:
+        yield one_scan.holds(check.name, check.table, _condition(check))
+        for table, condition in check.more:
+            yield one_scan.holds(check.name, table, condition)
 
 
 def observed_counts(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """(check_name, observed_count) of every check."""
-    checks = list(checks)
-    passes: dict[str, list[tuple[str, Column]]] = {}
-    parts: list[DataFrame] = []
-    for check in checks:
-        if check.kind in ONE_PASS:
-            passes.setdefault(check.table, []).append((check.name, _measure(check)))
-            for table, condition in check.more:
-                passes.setdefault(table, []).append((check.name, F.count_if(F.expr(condition))))
-            continue
-        df = tables[check.table]
-        if check.kind == "duplicates":
-            one = _duplicates(df, check)
-        elif check.kind == "orphans":
-            one = _orphans(tables, check)
-        else:
-            one = _groups(df, check)
-        parts.append(one.select(F.lit(check.name).alias("check_name"), F.col("observed").cast("bigint")))
-    for table, measures in passes.items():
-        names = [n for n, _ in measures]
-        row = tables[table].agg(*[m.cast("bigint").alias(n) for n, m in measures])
-        parts.append(row.unpivot([], names, "check_name", "observed"))
-    return (
-        union_all(parts)
-        .groupBy("check_name")
-        .agg(F.sum("observed").cast("bigint").alias("observed_count"))
+    """(check_name, observed_count) of every check, from one scan per table and one shuffle."""
+    questions = [q for check in checks for q in _questions(check)]
+    return one_scan.answers(tables, questions).select(
+        F.col("name").alias("check_name"), F.col("observed").alias("observed_count")
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerweave.functions import date_key, date_spine, differs, map_value, quarter_columns
+from ledgerweave.operators import constraints, one_scan
 from ledgerweave.operators import email_identity as em
 from ledgerweave.operators.keys import dense_key, ordered_rows, with_position
 from ledgerweave.operators.union import union_all
@@ -33,6 +34,13 @@ ORPHAN_ACCOUNT = "unknown account_id (orphan)"
 ORPHAN_OWNER = "customer_id not present in s1_core.customers"
 
 
+def identities(xref: DataFrame, system: str, id_column: str) -> DataFrame:
+    """Customer keys of one source system, keyed by that system's id."""
+    return xref.where(F.col("source_system") == system).select(
+        F.col("source_customer_id").alias(id_column), "customer_key"
+    )
+
+
 class LooseWarehouse:
     def __init__(
         self,
@@ -111,11 +119,6 @@ class LooseWarehouse:
     def customer_xref(self) -> DataFrame:
         return with_position(self.ws, "customer_xref", self.xref_rows, "xref_key")
 
-    def identities(self, system: str, id_column: str) -> DataFrame:
-        return self.xref_rows.where(F.col("source_system") == system).select(
-            F.col("source_customer_id").alias(id_column), "customer_key"
-        )
-
     # -------------------------------------------------------------- accounts
 
     @cached_property
@@ -129,7 +132,7 @@ class LooseWarehouse:
         """Accounts of known customers, linked through the null-safe person match."""
         rows = (
             self.src["accounts"]
-            .join(self.identities("S1", "customer_id"), "customer_id")
+            .join(identities(self.xref_rows, "S1", "customer_id"), "customer_id")
             .select(
                 "account_id", "customer_key", "account_type", "opened_date", "status",
                 F.lit("S1").alias("source_system"),
@@ -169,7 +172,7 @@ class LooseWarehouse:
         """Attach the customer (if resolved) and the day, which the calendar holds by its making.
         An event without a date keeps an empty day."""
         dated = events.withColumn("date_key", date_key(F.col(day)))
-        return dated.join(self.identities(system, id_column), id_column, "left")
+        return dated.join(identities(self.xref_rows, system, id_column), id_column, "left")
 
     def _with_channel(self, rows: DataFrame) -> DataFrame:
         channel = self.dim_channel.select("channel_key", F.col("channel_code").alias("channel"))
@@ -295,7 +298,7 @@ def customer_360(wh: LooseWarehouse) -> DataFrame:
 # -------------------------------------------------------------- reconciliation
 
 
-def settled_reconciliation(wh: LooseWarehouse) -> DataFrame:
+def settled_reconciliation(wh: LooseWarehouse, facts: DataFrame | None = None) -> DataFrame:
     """Settled minus orphans equals loaded, in rows and in money; neither is empty.
 
     The orphans must also be the rejects on record.
@@ -314,7 +317,7 @@ def settled_reconciliation(wh: LooseWarehouse) -> DataFrame:
         wh.rejected_record.where(F.col("reason") == ORPHAN_ACCOUNT).agg(
             F.count(F.lit(1)).alias("rejected_orphans")
         ),
-        wh.transaction_rows.agg(
+        (wh.transaction_rows if facts is None else facts).agg(
             F.count(F.lit(1)).alias("actual_loaded"), money("amount_aud").alias("warehouse_amount")
         ),
     )
@@ -344,18 +347,16 @@ def orphan_keys(wh: LooseWarehouse) -> DataFrame:
         "fact_service_case": (wh.case_rows, ["customer_key", "date_key"]),
         "dim_account": (wh.dim_account, ["customer_key"]),
     }
-    parts = []
-    for name, (df, keys) in tables.items():
-        for key in keys:
-            used = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(
-                used.join(dims[key].select(key), key, "left_anti").agg(
-                    F.lit(name).alias("table_name"),
-                    F.lit(key).alias("key_column"),
-                    F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphans"),
-                )
-            )
-    return union_all(parts).select("*", guards.verdict(F.col("orphans") == 0))
+    read = {name: df for name, (df, _) in tables.items()} | {f"dim of {key}": df for key, df in dims.items()}
+    dense = constraints.dense_keys(read, ((f"dim of {key}", key) for key in dims if key != "date_key"))
+    found = one_scan.answers(read, [
+        constraints.reference(f"{name}.{key}", name, key, (f"dim of {key}", key), dense)
+        for name, (_, keys) in tables.items() for key in keys
+    ])
+    return found.select(
+        F.substring_index("name", ".", 1).alias("table_name"), F.substring_index("name", ".", -1).alias("key_column"),
+        F.col("observed").alias("orphans"),
+    ).select("*", guards.verdict(F.col("orphans") == 0))
 
 
 def duplicate_natural_keys(wh: LooseWarehouse) -> DataFrame:
@@ -366,13 +367,13 @@ def duplicate_natural_keys(wh: LooseWarehouse) -> DataFrame:
         "fact_service_case": (wh.case_rows, "case_id"),
         "dim_account": (wh.dim_account, "account_id"),
     }
-    parts = [
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(
-            F.lit(name).alias("table_name"), F.count_if(F.col("n") > 1).alias("duplicates")
-        )
-        for name, (df, key) in tables.items()
-    ]
-    return union_all(parts).select("*", guards.verdict(F.col("duplicates") == 0))
+    found = one_scan.answers(
+        {name: df for name, (df, _) in tables.items()},
+        [one_scan.repeated_keys(name, name, [key], open_too=True) for name, (_, key) in tables.items()],
+    )
+    return found.select(F.col("name").alias("table_name"), F.col("observed").alias("duplicates")).select(
+        "*", guards.verdict(F.col("duplicates") == 0)
+    )
 
 
 def merged_names(wh: LooseWarehouse) -> DataFrame:
@@ -434,7 +435,7 @@ def account_links_kept(wh: LooseWarehouse) -> DataFrame:
             F.count_if(checked & wrong).alias("violations"),
         )
 
-    core = wh.identities("S1", "customer_id").withColumnRenamed("customer_key", "xref_key")
+    core = identities(wh.xref_rows, "S1", "customer_id").withColumnRenamed("customer_key", "xref_key")
     identity = (
         wh.dim_account.select("account_id", "customer_key")
         .join(owner, "account_id")
@@ -461,6 +462,35 @@ def account_links_kept(wh: LooseWarehouse) -> DataFrame:
     ).select("*", guards.verdict(F.col("violations") == 0))
 
 
+def run_log_agrees(wh: LooseWarehouse) -> DataFrame:
+    """Logged steps: what is not loaded is rejected, and the counts are those of the facts."""
+    facts = {
+        "fact_transaction": wh.transaction_rows, "fact_activity": wh.activity_rows,
+        "fact_service_case": wh.case_rows,
+    }
+    loaded = union_all(
+        [df.agg(F.lit(name).alias("step"), F.count(F.lit(1)).alias("fact_rows")) for name, df in facts.items()]
+    )
+    return loaded.join(wh.run_log, "step", "left").select(
+        "step", "source_count", "loaded_count", "rejected_count", "fact_rows",
+        guards.verdict(
+            (F.col("source_count") == F.col("loaded_count") + F.col("rejected_count"))
+            & (F.col("loaded_count") == F.col("fact_rows"))
+        ),
+    )
+
+
+def negative_amount(wh: LooseWarehouse) -> DataFrame:
+    """The settled reconciliation must fire on corrupted facts and pass on the real ones."""
+
+    def line(data: str, facts: DataFrame) -> DataFrame:
+        return settled_reconciliation(wh, facts).select(F.lit(data).alias("data"), "*")
+
+    return line("real", wh.transaction_rows).unionByName(
+        line("corrupted", guards.corrupted_amounts(wh.transaction_rows))
+    )
+
+
 # Columns named by the small-contract fingerprint.
 FINGERPRINT_COLUMNS = {
     "dim_customer": ["customer_key", "full_name", "date_of_birth", "email", "state", "match_quality"],

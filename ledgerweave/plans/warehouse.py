@@ -6,7 +6,7 @@ once to the workspace; the rest stay lazy.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,12 +54,20 @@ ROWS = {
 class BatchTables(Mapping[str, DataFrame]):
     """A written batch, under the names that reports and checks read.
 
-    What a batch does not hold, such as sources and decisions, comes from the warehouse
-    that built it, if there still is one.
+    What a batch does not hold as tables, such as decisions, is made by ``built``: the warehouse
+    that built the batch or, for a batch read later, one over its kept snapshot of the sources.
     """
 
-    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame], built: Warehouse | None = None):
-        self.spark, self._tables, self._built = spark, dict(tables), built
+    def __init__(
+        self,
+        spark: SparkSession,
+        tables: Mapping[str, DataFrame],
+        built: Warehouse | None = None,
+        reopen: Callable[[], Warehouse] | None = None,
+        root: str | None = None,
+    ):
+        self.spark, self._tables, self.root = spark, dict(tables), root
+        self._built, self._reopen = built, reopen
 
     def __getitem__(self, name: str) -> DataFrame:
         return self._tables[name]
@@ -71,16 +79,24 @@ class BatchTables(Mapping[str, DataFrame]):
         return len(self._tables)
 
     def __getattr__(self, name: str):
+        if name.startswith("__"):
+            raise AttributeError(name)
         table = ROWS.get(name, name)
         if table in self._tables:
             return self._tables[table]
+        if self._built is None and self._reopen is not None:
+            self._built = self._reopen()
         if self._built is None:
-            raise AttributeError(f"a written batch has no {name}")
+            raise AttributeError(f"a written batch without its sources has no {name}")
         return getattr(self._built, name)
 
     def ready(self, *names: str) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in names}
 
+    def stored(self) -> dict[str, DataFrame]:
+        """The batch's tables by name, as ``Workspace.stored`` gives those of a build."""
+        return dict(self._tables)
+
 
 # What decisions, facts, rejects and checks read of a transaction.
 TX_COLUMNS = [
@@ -258,7 +274,8 @@ class Warehouse:
             "account_key",
             date_key(F.col("transaction_ts")).alias("date_key"),
             "channel_key",
-            F.col("amount").cast("decimal(12,2)").alias("amount_aud"),
+            # An amount beyond the declared type is empty here and a line of the gate's checks.
+            F.col("amount").try_cast("decimal(12,2)").alias("amount_aud"),
             F.lit(1).alias("transaction_count"),
             "status",
             "source_transaction_ref",
