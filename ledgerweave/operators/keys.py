@@ -91,24 +91,19 @@ def _position_in_group(
     )
 
 
-def rank_by_id(
-    ws: Workspace, name: str, df: DataFrame, group: Sequence[str], row_id: str, rank: str = "rn"
-) -> DataFrame:
-    """``row_number`` per group ordered by a unique id, safe for one huge group.
+# Groups of more rows than this are ranked across range partitions, if the sketch sees them.
+HOT_ROWS = 1_000_000
+# A group that holds this share of all rows is always seen.
+_TRACKED, _MOST = 100_000, 1_000
 
-    Only ids of repeated groups are ordered, on two narrow columns. The rank comes
-    back through the unique id, so the wide rows never meet on the group key.
-    """
-    narrow = df.select(*group, row_id)
-    repeated = repeated_groups(ws, name, narrow, group)
-    kept = join_null_safe(narrow, repeated, group).select(*narrow.columns)
-    ranks = ws.table(
-        f"{name}_ranks",
-        lambda: _position_in_group(ws, name, kept, group, [row_id], rank).select(row_id, rank),
-    )
-    return df.join(ranks, row_id, "left").select(
-        *df.columns, F.coalesce(rank, F.lit(1)).cast("bigint").alias(rank)
-    )
+
+def hot_groups(df: DataFrame, group: Sequence[str], hot_rows: int) -> list[int]:
+    """Hashes of the groups of more than ``hot_rows`` rows, from a mergeable sketch of frequent
+    items: one scan of the group columns, no shuffle, a bounded answer."""
+    found = df.select(F.xxhash64(*group).alias("_mark")).agg(
+        F.expr(f"approx_top_k(_mark, {_MOST}, {_TRACKED})").alias("top")
+    ).first()["top"]
+    return [r["item"] for r in found or () if r["count"] > hot_rows]
 
 
 def rank_rows(
@@ -118,12 +113,26 @@ def rank_rows(
     group: Sequence[str],
     order: Sequence[str],
     rank: str = "rn",
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """``row_number`` per group for rows without an id of their own."""
-    repeated = repeated_groups(ws, name, df, group)
-    flagged = join_null_safe(df, repeated, group, "left")
-    single = flagged.where(F.col("_n").isNull()).select(
-        *df.columns, F.lit(1).cast("bigint").alias(rank)
+    """``row_number`` per group, safe for one huge group.
+
+    Rows are shuffled once, on the group. Groups too large for one task are taken out before and
+    ranked by their position in range partitions.
+    """
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint").alias(rank)
+    hot = hot_groups(df, group, HOT_ROWS if hot_rows is None else hot_rows)
+    if not hot:
+        return df.select("*", place)
+    is_hot = F.xxhash64(*group).isin(hot)
+    return df.where(~is_hot).select("*", place).unionByName(
+        _position_in_group(ws, name, df.where(is_hot), group, order, rank)
     )
-    several = join_null_safe(df, repeated, group).select(*df.columns)
-    return single.unionByName(_position_in_group(ws, name, several, group, order, rank))
+
+
+def rank_by_id(
+    ws: Workspace, name: str, df: DataFrame, group: Sequence[str], row_id: str, rank: str = "rn",
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """``row_number`` per group ordered by a unique id."""
+    return rank_rows(ws, name, df, group, [row_id], rank, hot_rows)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_DIR
 from ledgerweave.operators import disposition as dp
 from ledgerweave.operators import identity as idn
+from ledgerweave.operators import keys
 from ledgerweave.operators.keys import ordered_rows
 from ledgerweave.operators.workspace import Workspace
 from ledgerweave.plans import reports
@@ -111,7 +112,9 @@ def test_hot_contact_is_split(spark, ws, tight):
     assert found.where("match_status = 'matched' and customer_key = 1").count() >= 10_000
 
 
-def test_hot_reference_is_ranked_exactly(spark, ws, tight):
+@pytest.mark.parametrize("limit", [5_000, 1_000_000])  # across range partitions, in one window
+def test_hot_reference_is_ranked_exactly(spark, ws, tight, monkeypatch, limit):
+    monkeypatch.setattr(keys, "HOT_ROWS", limit)
     xref, accounts = lookups(spark, ws)
     tx = ws.table("tx", lambda: hot_transactions(spark, hot_ref=True))
     decided = dp.decide_transactions(ws, "r", tx, xref, accounts)
