@@ -102,3 +102,7 @@ class Workspace:
 
     def names(self) -> list[str]:
         return sorted(self._tables)
+
+    def stored(self) -> dict[str, DataFrame]:
+        """The tables written so far."""
+        return dict(self._tables)

@@ -16,7 +16,7 @@ from ledgerweave.operators.fingerprint import compare_builds, fingerprints
 from ledgerweave.operators.keys import dense_key, rank_by_id, rank_rows, repeated_groups
 from ledgerweave.operators.union import union_all
 from ledgerweave.operators.workspace import Workspace, in_parallel
-from ledgerweave.plans import guards, inspection, loose, reports
+from ledgerweave.plans import guards, identity_cases, inspection, loose, reports
 from ledgerweave.plans import source_checks as sc
 from ledgerweave.plans.shared import loose_warehouse, warehouse
 from ledgerweave.plans.warehouse import TABLES, Warehouse
@@ -270,77 +270,20 @@ def identity_pair_count(spark, sf_dir):
     )
 
 
-def _labelled(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
-    return spark.createDataFrame(rows, ddl)
-
-
-# Invented people. One core customer stands alone, two share their name and mailbox.
-BOUNDARY_ANCHORS = [
-    ("ZC-lone", "Mira", "Okafor", "1977-05-09", "mira.okafor@mailbox.test", "0455123987"),
-    ("ZC-pair1", "Jonas", "Lindqvist", "1969-02-27", "lindqvist.home@mailbox.test", None),
-    ("ZC-pair2", "Jonas", "Lindqvist", "1998-10-30", "lindqvist.home@mailbox.test", None),
-]
-BOUNDARY_PEOPLE = [
-    ("ZP-case-and-blanks", "MIRA", "okafor", None, " Mira.Okafor@Mailbox.Test", None),
-    ("ZP-name-only", "Mira", "Okafor", None, None, None),
-    ("ZP-shared-mail", "Jonas", "Lindqvist", None, "lindqvist.home@mailbox.test", None),
-    ("ZP-married-name", "Mira", "Delacroix", "1977-05-09", None, "+61 455 123 987"),
-    ("ZP-blank-mail", "Mira", "Okafor", None, "  ", None),
-    ("ZP-stranger", "Tevita", "", None, None, None),
-]
-# Shares name and e-mail with the first payer, so it comes from another source.
-BOUNDARY_DIGITAL = [("ZU-other-birthday", "Mira", "Okafor", "2003-08-14", "mira.okafor@mailbox.test", None)]
-PAIR_ANCHORS = [
-    ("ZC-solo", "Priya", "Venter", "1984-12-02", "p.venter@mailbox.test", "0466200311"),
-    ("ZC-double", "Hugo", "Marsh", "1959-07-21", "hugo@mailbox.test", "0466200312"),
-]
-PAIR_PEOPLE = [
-    ("ZP-solo-open", "Priya", "Venter", None, "p.venter@mailbox.test", None),
-    ("ZP-double-1", "Hugo", "Marsh", None, "hugo@mailbox.test", None),
-    ("ZP-double-2", "Hugo", "Marsh", None, "hugo@mailbox.test", None),
-    ("ZP-solo-conflict", "Priya", "Venter", "1991-03-18", "p.venter@mailbox.test", None),
-]
-_CASE = "first_name string, last_name string, dob string, email string, phone string"
-
-
-def with_test_people(
-    wh, label: str, anchors: list[tuple], payers: list[tuple], users: list[tuple]
-) -> DataFrame:
-    """Resolve both whole sources with test people and test customers added to them."""
-    spark = wh.spark
-
-    def frame(rows: list[tuple], key: str) -> DataFrame:
-        return _labelled(spark, rows, f"{key} string, {_CASE}").withColumn(
-            "date_of_birth", F.col("dob").cast("date")
-        )
+def _cases(cases: identity_cases.Cases):
+    """Both whole sources with test people and test customers added, through a build's own plan."""
 
-    def extended(source: str, rows: list[tuple], key: str) -> DataFrame:
-        return wh.src[source].unionByName(frame(rows, key).drop("dob"), allowMissingColumns=True)
-
-    core = idn.anchor_customers(extended("customer", anchors, "customer_id"))
-    ws = Workspace(spark, label)
-    keyed = ws.table("anchors", lambda: dense_key(ws, "anchor", core, ["core_customer_id"], "customer_key"))
-    people = idn.people(
-        extended("payment_customer", payers, "payment_customer_id"), "S2", "payment_customer_id"
-    ).unionByName(
-        idn.people(
-            extended("digital_customer", users, "digital_customer_id"), "S3", "digital_customer_id"
-        )
-    )
-    found = idn.resolve(ws, label, keyed, people, ["S2", "S3"])
-    ids = keyed.select("customer_key", "core_customer_id")
-    linked = found.where(F.col("customer_key").isNotNull()).join(ids, "customer_key")
-    loose_ends = found.where(F.col("customer_key").isNull())
-    return linked.unionByName(loose_ends, allowMissingColumns=True).select(
-        "source_customer_id", "core_customer_id", "match_rule", "match_status"
-    )
+    def run(wh) -> DataFrame:
+        def build(sources, ws):
+            return Warehouse(wh.spark, sources, ws, wh.batch_id)
 
+        return identity_cases.resolved(wh.src, cases, build, Workspace(wh.spark, cases.name))
 
-strict(
-    "identity_boundary_cases",
-    lambda wh: with_test_people(wh, "boundary", BOUNDARY_ANCHORS, BOUNDARY_PEOPLE, BOUNDARY_DIGITAL),
-)
-strict("identity_pair_cases", lambda wh: with_test_people(wh, "pairs", PAIR_ANCHORS, PAIR_PEOPLE, []))
+    return run
+
+
+strict("identity_boundary_cases", _cases(identity_cases.BOUNDARY))
+strict("identity_pair_cases", _cases(identity_cases.PAIRS))
 
 # --------------------------------------------------------- dispositions and facts
 
@@ -487,6 +430,7 @@ strict("identity_rule_coverage", lambda wh: guards.rule_coverage(wh.xref_rows))
 strict("check_identity_status", lambda wh: guards.identity_status(wh.xref_rows))
 strict("check_report_totals", guards.report_totals)
 strict("check_constraints", guards.warehouse_constraints)
+strict("check_precision", guards.lossless_casts)
 strict("negative_amount", guards.negative_amount)
 
 

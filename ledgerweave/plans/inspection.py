@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerweave.operators.keys import repeated_groups
 from ledgerweave.operators.union import union_all
 from ledgerweave.plans import reports
-from ledgerweave.plans.warehouse import Warehouse
+from ledgerweave.plans.warehouse import BatchTables, Warehouse
 
 MONEY = reports.MONEY
 
@@ -148,21 +148,24 @@ def scan_roots(df: DataFrame) -> set[str]:
     return roots
 
 
-def report_lineage(wh: Warehouse) -> DataFrame:
+def report_lineage(wh: Warehouse | BatchTables) -> DataFrame:
     """Which written warehouse tables each report reads, with their sizes.
 
     The folders come from the scans of each report's plan, one per table however many files
-    it has; a report that bypasses the warehouse shows up as a path outside its root.
+    it has; a report that bypasses the warehouse shows up as a path outside its root. A
+    published batch is traced in its own folder, in any session.
     """
-    marker = wh.ws.root.split("/")[-1]
+    root = wh.root if isinstance(wh, BatchTables) else wh.ws.root
+    marker = "/".join(root.rstrip("/").split("/")[-2:])
     pairs = set()
     for name, report in reports.REPORTS.items():
         for path in scan_roots(report(wh)):
             inside = f"/{marker}/" in path
             table = path.split(f"/{marker}/")[1].split("/")[0] if inside else "outside:" + path
             pairs.add((name, table))
+    stored = wh.stored() if isinstance(wh, BatchTables) else wh.ws.stored()
     names = sorted({t for _, t in pairs if not t.startswith("outside:")})
-    sizes = row_counts({t: wh.spark.read.parquet(wh.ws.path(t)) for t in names}, "table_name")
+    sizes = row_counts({t: stored[t] for t in names}, "table_name")
     edges = wh.spark.createDataFrame(sorted(pairs), "report string, table_name string")
     return edges.join(sizes, "table_name", "left").select("report", "table_name", "rows")
 

@@ -30,3 +30,16 @@ def test_batch_states(spark):
     assert [states[b]["status"] for b in ("b1", "b2", "b3")] == ["PASS", "FAIL", "RUNNING"]
     assert states["b2"]["error"] == "broken" and states["b3"]["finished_at"] is None
     assert latest_pass(batch_states(events)).first()["batch_id"] == "b1"
+
+
+def test_a_pass_is_never_revoked(spark):
+    t = [datetime(2026, 1, 1, h) for h in range(6)]
+    events = spark.createDataFrame(
+        [("b1", t[0], "RUNNING", None, "x"), ("b1", t[1], "PASS", None, "x"),
+         ("b1", t[2], "RUNNING", None, "y"), ("b1", t[3], "FAIL", "broken", "y"),
+         ("b2", t[1], "RUNNING", None, "p"), ("b2", t[2], "FAIL", "first", "p"), ("b2", t[4], "RUNNING", None, "q")],
+        "batch_id string, event_at timestamp, status string, error string, attempt string",
+    )
+    states = {r["batch_id"]: r for r in batch_states(events).collect()}
+    assert (states["b1"]["status"], states["b1"]["finished_at"], states["b1"]["error"]) == ("PASS", t[1], None)
+    assert (states["b2"]["status"], states["b2"]["started_at"]) == ("RUNNING", t[1])

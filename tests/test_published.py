@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 import published_fixture
 from ledgerweave.operators import scorecard
-from ledgerweave.operators.audit import AuditLog
+from ledgerweave.operators.batch_store import BatchStore
 from ledgerweave.operators.disposition import REJECT_ACCOUNT
-from ledgerweave.plans import guards, inspection, publish, reports
+from ledgerweave.plans import guards, identity_cases, inspection, publish, reports
 from ledgerweave.operators.scorecard import Check
 from ledgerweave.operators.workspace import Workspace
 from ledgerweave.plans import source_checks as sc
+from ledgerweave.plans import warehouse
 from ledgerweave.plans.warehouse import SCHEMAS, BatchTables, Warehouse
 from ledgerweave.session import shared_folder
 from ledgerweave.sources.files import scan, scan_expected_identities
@@ -40,6 +41,11 @@ def people():
     return out
 
 
+# A gate of one source check, for tests of other parts.
+ONE_CHECK = (Check("customers", "customer", "rows", expected=200),)
+SHORT = publish.Gate(ONE_CHECK, cases=(), twice=False)
+
+
 @pytest.fixture(scope="module")
 def src(spark):
     return published_fixture.sources(spark)
@@ -113,12 +119,14 @@ def test_duplicate_comes_first_even_if_the_kept_row_is_bad(spark, src, ws):
 
 
 def test_published_batch_and_two_equal_builds(spark, src, root, batch):
-    publish.build_batch(spark, src, root, "b2", gate=publish.Gate(twice=False))
+    publish.build_batch(spark, src, root, "b2", SHORT)
     equal = publish.builds_equal(spark, root, "b1", "b2").collect()
     assert len(equal) == 9 and all(r["equal"] for r in equal)
+    assert publish.differences(spark, root, "b1", "b2").count() == 0
     newest = publish.published(spark, root)
     assert newest["fact_transaction"].select("batch_id").first()[0] == "b2"
-    log = AuditLog(spark, f"{root}/audit")
+    assert publish.published(spark, root, batch_id="b1")["fact_transaction"].select("batch_id").first()[0] == "b1"
+    log = publish.audit_log(spark, root)
     assert {r["batch_id"]: r["status"] for r in log.batches().collect()} == {"b1": "PASS", "b2": "PASS"}
     assert log.steps().count() == 6
 
@@ -166,61 +174,88 @@ def test_every_damage_to_a_published_table_is_found(wh):
 
 
 def test_damage_while_writing_leaves_the_batch_unpublished(spark, src, tmp_path, monkeypatch):
-    real = publish.read_batch
+    real = publish.read_tables
 
-    def hurt(spark, path):
-        tables = dict(real(spark, path))
-        tables["fact_transaction"] = damaged_facts(tables["fact_transaction"])
-        return BatchTables(spark, tables)
+    def read(spark, attempt, contract):
+        tables = real(spark, attempt, contract)
+        return tables | {"fact_transaction": damaged_facts(tables["fact_transaction"])}
 
-    monkeypatch.setattr(publish, "read_batch", hurt)
+    monkeypatch.setattr(publish, "read_tables", read)
     with pytest.raises(guards.CheckFailed, match="amount total"):
-        publish.build_batch(spark, src, str(tmp_path), "bad", False, publish.Gate(twice=False))
+        publish.build_batch(spark, src, str(tmp_path), "bad", SHORT)
     monkeypatch.undo()
     with pytest.raises(LookupError):
         publish.published(spark, str(tmp_path))
-
-
-@pytest.mark.parametrize("part", ["source checks", "expected identities", "expected rejects"])
-def test_gate_parts_stop_a_batch(spark, src, tmp_path, part):
+    assert not list(tmp_path.glob("batch=*/attempt=*"))
+
+
+def test_checks_and_lineage_of_a_published_batch(spark, root, batch):
+    """Nothing of the build is left: sources come from the batch's snapshot."""
+    assert set(publish.recheck(spark, root, batch_id="b1").values()) == {0}
+    traced = inspection.report_lineage(publish.published(spark, root, batch_id="b1")).collect()
+    assert {r["report"] for r in traced} == set(reports.REPORTS)
+    assert not any(r["table_name"].startswith("outside:") for r in traced)
+    sizes = {r["table_name"]: r["rows"] for r in traced}
+    assert sizes["dim_customer"] == 200 and sizes["fact_activity"] == 999
+
+
+def test_an_amount_beyond_the_declared_type_is_a_line_and_no_crash(spark, src):
+    huge = F.when(F.col("transaction_id") == "T000700", F.lit("12345678901.25")).otherwise(F.col("amount"))
+    wide = dict(src, payment_transaction=src["payment_transaction"].withColumn("amount", huge.cast("decimal(15,2)")))
+    wh = Warehouse(spark, wide, Workspace(spark, "wide"), "b0")
+    lines = {(r["table_name"], r["result"]): r["violations"] for r in guards.lossless_casts(wh).collect()}
+    assert lines == {("fact_transaction", "FAIL"): 1, ("rejected_record", "PASS"): 0}
+    assert guards.CHECKS["lossless casts"] is guards.lossless_casts
+    assert wh.transaction_rows.where("amount_aud IS NULL").count() == 1
+
+
+@pytest.mark.parametrize("part", ["source checks", "expected identities", "expected rejects", "identity cases"])
+def test_gate_parts_stop_a_batch(spark, src, wh, part):
+    found = identity_cases.PAIRS.expected[0]
+    other = identity_cases.Cases(
+        "wrong", identity_cases.PAIRS.customers, identity_cases.PAIRS.payers, [], [(found[0], "ZC-solo", "R3_NAME_EMAIL", "matched")]
+    )
     wrong = {
-        "source checks": {"checks": [Check("too_many", "customer", "rows", expected=1)]},
+        "source checks": {"checks": [*ONE_CHECK, Check("too_many", "customer", "rows", expected=1)]},
         "expected identities": {
             "identities": guards.expected_by_source(spark.createDataFrame(people()[1:], EXPECTED_IDENTITY))
         },
         "expected rejects": {
             "rejects": spark.createDataFrame(REJECTS[1:], "source_table string, source_key string, reason string")
         },
+        "identity cases": {"cases": [other]},
     }[part]
+    gate = publish.Gate(**({"checks": ONE_CHECK, "cases": (), "twice": False} | wrong))
+    seen = BatchTables(spark, {name: getattr(wh, name) for name in SCHEMAS}, wh)
     folder = Path(shared_folder(spark))
     before = set(folder.iterdir())
-    with pytest.raises(guards.CheckFailed, match=part):
-        publish.build_batch(spark, src, str(tmp_path), "bad", False, publish.Gate(twice=False, **wrong))
-    assert set(folder.iterdir()) == before  # the workspace is gone
-    with pytest.raises(LookupError):
-        publish.published(spark, str(tmp_path))
+    lines = publish.gate_failures(spark, src, seen, "bad", gate, publish.STRICT, Workspace(spark, "again"))
+    assert [name for name, n in lines.items() if n] == [part]
+    assert set(folder.iterdir()) == before  # the workspaces are gone
 
 
-def test_failed_batch_stays_unpublished(spark, src, tmp_path, monkeypatch):
-    root = str(tmp_path)
-    monkeypatch.setitem(guards.CHECKS, "always fails", lambda wh: wh.dim_channel.select(F.lit("FAIL").alias("result")))
-    with pytest.raises(guards.CheckFailed, match="always fails"):
-        publish.build_batch(spark, src, root, "bad", False, publish.Gate(twice=False))
-    with pytest.raises(LookupError):
-        publish.published(spark, root)
-    state = AuditLog(spark, f"{root}/audit").batches().first()
-    assert state["status"] == "FAIL" and "always fails" in state["error"]
+def test_a_changed_rule_is_found_by_the_test_people(spark, src, monkeypatch):
+    def build(sources, ws):
+        return Warehouse(spark, sources, ws, "b0")
+
+    real = warehouse.idn.people
+
+    def careless(source, system, id_column):
+        # Birth dates ignored: the user with another birthday now looks like the customer.
+        return real(source.withColumn("date_of_birth", F.lit(None).cast("date")), system, id_column)
+
+    assert identity_cases.disagreements(src, [identity_cases.BOUNDARY], build) == 0
+    monkeypatch.setattr(warehouse.idn, "people", careless)
+    assert identity_cases.disagreements(src, [identity_cases.BOUNDARY], build) > 0
 
 
 def test_files_per_month_are_bounded(spark, wh, tmp_path):
     """Ids and months do not go together; sixteen tasks still write each month once."""
-    spread = BatchTables(
-        spark, {n: getattr(wh, n).repartition(16) if n in publish.FACTS else getattr(wh, n) for n in SCHEMAS}
-    )
-    spread.build = lambda: dict(spread)
-    publish.write_batch(spread, str(tmp_path / "b"))
-    for fact in publish.FACTS:
-        for month in (tmp_path / "b" / fact).glob("event_month=*"):
+    spread = {n: getattr(wh, n).repartition(16) if n in publish.STRICT.facts else getattr(wh, n) for n in SCHEMAS}
+    attempt = BatchStore(spark, str(tmp_path)).begin("b")
+    publish.write_tables(spread, attempt, publish.STRICT)
+    for fact in publish.STRICT.facts:
+        for month in Path(attempt.table(fact)).glob("event_month=*"):
             assert len(list(month.glob("*.parquet"))) == 1
 
 
