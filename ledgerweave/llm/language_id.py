@@ -5,8 +5,9 @@ A known word adds its log frequency in every language. An unseen word falls back
 score is the posterior of the best language under equal priors.
 
 The model is fitted on a bounded sample (``sample_docs`` per language, drawn by a hash of
-the id) and keeps ``top_words`` words and ``TOP_GRAMS[n]`` n-grams per language, so its
-size follows the number of languages and not the corpus. Prediction reads every text whole.
+the id and the text) and keeps every word and n-gram counted there; ``top_words`` and
+``top_grams`` can bound its size further. Prediction reads every text whole. Words are letters
+with their combining marks; number signs such as a half or a superscript two are none.
 
 Defined results for unusual input: null or letterless text is ``und`` with score 0; a text
 whose letters are all unknown gets the first language with an even score; ties go to the
@@ -17,20 +18,19 @@ are not read.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerweave.llm.common import Scratch, per_batch
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
 ORDERS = (5, 4, 3, 2, 1)
-TOP_GRAMS = {5: 10_000, 4: 10_000, 3: 6_000, 2: 2_000, 1: 500}
 UNKNOWN = "und"
 
 
@@ -80,14 +80,19 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-        sample_docs: int = 6_000, top_words: int = 20_000) -> Model:
-    """Fit on at most about ``sample_docs`` documents of each language."""
+        sample_docs: int = 6_000, top_words: int | None = None,
+        top_grams: Mapping[int, int] | None = None) -> Model:
+    """Fit on at most about ``sample_docs`` documents of each language.
+
+    ``top_words`` and ``top_grams`` (by order) keep the most frequent keys of each language only;
+    without them every counted key is kept.
+    """
     known = docs.select(
         F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = known.groupBy("lang").agg(F.count("*").alias("docs"))
     share = F.least(F.lit(1.0), F.lit(float(sample_docs)) / F.col("docs"))
-    draw = F.pmod(F.xxhash64(F.col("id"), F.lit("language sample")), F.lit(1 << 30))
+    draw = F.pmod(F.xxhash64(F.col("id"), F.col("text"), F.lit("language sample")), F.lit(1 << 30))
     sample = known.join(F.broadcast(sizes), "lang").where(draw < share * (1 << 30))
     scratch = Scratch(docs.sparkSession, "language-id")
     words = scratch.write(
@@ -102,17 +107,18 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     )
     whole = words.select("lang", F.lit(0).alias("order"), F.col("word").alias("key"), "n")
     both = scratch.write("counts", whole.unionByName(grams))
-    kind = Window.partitionBy("lang", "order")
-    limit = F.lit(top_words)
-    for order, top in TOP_GRAMS.items():
-        limit = F.when(F.col("order") == order, F.lit(top)).otherwise(limit)
     # The totals come from an aggregation of their own, so that the rank can be cut map-side.
     totals = both.groupBy("lang", "order").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-    ranked = both.withColumn(
-        "place", F.row_number().over(kind.orderBy(F.desc("n"), "key"))
-    ).where(F.col("place") <= max(top_words, *TOP_GRAMS.values())).where(F.col("place") <= limit)
+    limits = {0: top_words} | dict(top_grams or {})
+    kept = both
+    for order, limit in limits.items():
+        if limit is not None:
+            of_order = F.col("order") == order
+            by_count = Window.partitionBy("lang", "order").orderBy(F.desc("n"), "key")
+            first = kept.where(of_order).withColumn("place", F.row_number().over(by_count)).where(F.col("place") <= limit)
+            kept = kept.where(~of_order).unionByName(first.drop("place"))
     rows = (
-        ranked.join(F.broadcast(totals), ["lang", "order"])
+        kept.join(F.broadcast(totals), ["lang", "order"])
         .select("lang", "order", "key", "n", "total", "kinds").toArrow().to_pydict()
     )
     scratch.drop("words", "counts")

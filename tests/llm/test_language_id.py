@@ -47,3 +47,73 @@ def test_odd_rows(spark, docs_of, model):
     empty = language_id.fit(docs.limit(0))
     assert {r["lang_pred"] for r in language_id.predict(docs, empty).collect()} == {"und"}
     assert language_id.predict(docs.limit(0), model).count() == 0
+
+
+def test_words_are_letters_with_their_marks(spark, docs_of, model):
+    assert language_id.LETTERS.findall("½ ² Ⅷ ① हि a²b e\u0301t 12 x_y") == ["हि", "a", "b", "e\u0301t", "x", "y"]
+    docs = docs_of([(1, "½ ²"), (2, "Ⅷ ①"), (3, "\u0301 \u0308"), (4, "the ²")])
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.predict(docs, model).collect()}
+    assert got[1] == got[2] == got[3] == ("und", 0.0) and got[4][0] == "en"
+
+
+def brute_scores(training, texts):
+    """Posterior by plain counting: whole words, then the longest order with a known n-gram."""
+    import math
+    from collections import Counter
+
+    counts = {}
+    for text, lang in training:
+        by = counts.setdefault(lang, {n: Counter() for n in range(6)})
+        for word in language_id.LETTERS.findall(text.lower()):
+            by[0][word] += 1
+            for n in (5, 4, 3, 2, 1):
+                by[n].update(language_id._grams(word, n))
+    langs = sorted(counts)
+    known = {n: set().union(*(counts[x][n] for x in langs)) for n in range(6)}
+
+    def log_share(lang, n, key):
+        c = counts[lang][n]
+        return math.log((c[key] + 0.5) / (sum(c.values()) + 0.5 * (len(c) + 1)))
+
+    found = []
+    for text in texts:
+        total = dict.fromkeys(langs, 0.0)
+        for word in language_id.LETTERS.findall(text.lower()):
+            if word in known[0]:
+                keys, n = [word], 0
+            else:
+                n = next((n for n in (5, 4, 3, 2, 1) if any(g in known[n] for g in language_id._grams(word, n))), None)
+                keys = [g for g in language_id._grams(word, n) if g in known[n]] if n else []
+            for lang in langs if keys else ():
+                total[lang] += sum(log_share(lang, n, k) for k in keys) / len(keys)
+        best = max(langs, key=lambda x: (total[x], -langs.index(x)))
+        found.append((best, 1 / sum(math.exp(total[x] - total[best]) for x in langs)))
+    return found
+
+
+def test_scores_equal_plain_counting(spark, docs_of):
+    training = [("the cat sat on the mat hearing", "en"), ("le chat est sur la table haute", "fr"),
+                ("die katze sitzt auf der matte", "de"), ("the mat was there", "en"), ("la table est là", "fr")]
+    texts = ["the cat", "katzen und matten", "hauteur", "chatte sur tables", "qqq", "the la die", "sitting there on tables"]
+    model = language_id.fit(docs_of([(i, t, x) for i, (t, x) in enumerate(training)]))
+    got = language_id.predict(docs_of(list(enumerate(texts))), model).orderBy("doc_id").collect()
+    for row, (lang, score) in zip(got, brute_scores(training, texts)):
+        assert row["lang_pred"] == lang and abs(row["score"] - score) < 1e-4, (texts[row["doc_id"]], row, lang, score)
+
+
+def test_every_counted_key_is_kept_unless_bounded(spark, docs_of):
+    rows = [(i, " ".join(f"w{chr(97 + i % 26)}{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(300)), "en") for i in range(40)]
+    whole = language_id.fit(docs_of(rows))
+    words = {w for _, text, _ in rows for w in language_id.LETTERS.findall(text)}
+    assert {k for k, order in whole.keys if order == 0} == words
+    small = language_id.fit(docs_of(rows), top_words=50, top_grams={5: 7, 1: 2})
+    sizes = {n: sum(order == n for _, order in small.keys) for n in range(6)}
+    assert sizes[0] == 50 and sizes[5] == 7 and sizes[1] == 2
+    assert sizes[3] == sum(order == 3 for _, order in whole.keys)
+
+
+def test_rows_without_id_are_drawn_by_their_text(spark, docs_of):
+    rows = [(None, f"wort{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}", "de") for i in range(2000)]
+    model = language_id.fit(docs_of(rows), sample_docs=500)
+    drawn = sum(order == 0 for _, order in model.keys)
+    assert 350 < drawn < 650
