@@ -70,7 +70,7 @@ def test_equals_brute_force(spark, docs_of, width, percent):
 
 
 def test_crowded_regions_and_many_cells(spark, docs_of, monkeypatch):
-    """With tiny limits every region is cut deeper and every cluster is dealt into cells."""
+    """With tiny limits most regions are cut into blocks and clusters are dealt into cells."""
     monkeypatch.setattr(lsh_forest, "REGION", 25)
     monkeypatch.setattr(lsh_forest, "BLOCK", 10)
     rows = corpus()
@@ -135,10 +135,10 @@ def test_crowded_regions_lose_no_pair(spark, docs_of, monkeypatch):
     reps = spark.createDataFrame(
         [(i, 100, bytearray(s.tobytes())) for i, s in enumerate(sigs)], "id bigint, n bigint, sig binary"
     )
-    members, stars = lsh_forest._regions(reps, Scratch(spark, "regions"), least, 80)
+    members, inner = lsh_forest._regions(reps, Scratch(spark, "regions"), least, 80)
     found = members.join(reps, "id").groupBy("region").applyInArrow(
-        lsh_forest._spanning(least, 80), "a bigint, b bigint"
-    ).unionByName(stars.select("a", "b"))
+        lsh_forest._spanning(least, 80), "a bigint, b bigint, alike float"
+    ).unionByName(inner).select("a", "b")
     links = {(min(r), max(r)) for r in map(tuple, found.collect())}
     assert links <= want
     root = list(range(1500))
@@ -151,3 +151,47 @@ def test_crowded_regions_lose_no_pair(spark, docs_of, monkeypatch):
     for a, b in links:
         root[find(a)] = find(b)
     assert len(want) > 450 and [p for p in want if find(p[0]) != find(p[1])] == []
+
+
+def crowd(rng, families, count, noise):
+    """Signatures of families of near copies that all share their first values."""
+    sigs = []
+    for _ in range(families):
+        base = rng.integers(0, 1 << 16, lsh_forest.SIZE)
+        copies = np.where(rng.random((count, lsh_forest.SIZE)) < noise, rng.integers(0, 1 << 16, (count, lsh_forest.SIZE)), base)
+        sigs.append(copies)
+    sigs = np.concatenate(sigs).astype(np.uint16)
+    sigs[:, : lsh_forest.FIRST] = 7
+    return sigs
+
+
+def test_sorted_neighbours_spare_most_comparisons():
+    rng = np.random.default_rng(3)
+    for families, noise, most in ((1, 0.05, 0.1), (3, 0.05, 0.05), (1, 0.0, 0.01)):
+        sigs = crowd(rng, families, 1000, noise)
+        sigs = sigs[np.lexsort(sigs[:, ::-1].T)]
+        sizes = np.full(len(sigs), 50)
+        links = lsh_forest.Links(np.arange(len(sigs)))
+        lsh_forest._sorted_neighbours(links, sigs, sizes, 0.7, 80)
+        lsh_forest._left_apart(links, sigs, sizes, 0.7, 80)
+        assert len(np.unique(links.names)) == families
+        assert links.compared < most * len(sigs) ** 2 / 2, (families, links.compared)
+
+
+def test_a_crowd_is_cut_into_blocks_that_need_not_meet(spark, monkeypatch):
+    """Families far apart in one region: most blocks are ruled out by their radii, and blocks of one
+    family are known to be one group. What meets are blocks with strays of another family."""
+    monkeypatch.setattr(lsh_forest, "REGION", 100)
+    rng = np.random.default_rng(4)
+    sigs = crowd(rng, 6, 400, 0.04)
+    reps = spark.createDataFrame(
+        [(i, 100, bytearray(s.tobytes())) for i, s in enumerate(sigs)], "id bigint, n bigint, sig binary"
+    )
+    members, inner = lsh_forest._regions(reps, Scratch(spark, "regions"), 0.7, 80)
+    pairs = members.where("side > 0").groupBy("region").agg({"id": "count"}).selectExpr("`count(id)` AS n")
+    compared = sum(r["n"] ** 2 // 4 for r in pairs.collect())
+    assert compared < 0.25 * len(sigs) ** 2 / 2
+    found = members.join(reps, "id").groupBy("region").applyInArrow(
+        lsh_forest._spanning(0.7, 80), "a bigint, b bigint, alike float").unionByName(inner)
+    roots = {r["node"]: r["root"] for r in components(found.select("a", "b"), Scratch(spark, "cc"), "t").collect()}
+    assert {roots[i] for i in range(len(sigs))} == {400 * k for k in range(6)}
