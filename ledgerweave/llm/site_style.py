@@ -13,11 +13,13 @@ A node on one page has importance 1. Texts count for the element that holds them
 elements around it, so a node's content is that of its whole branch. Branches below
 ``THRESHOLD`` are removed from each page.
 
-Names overrule the entropies where a host has too few pages to tell: branches whose tag, role,
-class or id says navigation, footer, advert, form, comment and so on are always removed;
-``article`` and ``main`` are never removed, nor is what stands around them, and where a page has
-them, the text is theirs. If
-a page would lose all its text to entropies alone, they are not applied to it.
+Names decide what entropies cannot see: branches whose tag, role, class or id says navigation,
+footer, advert, form, comment and so on are always removed, also where their words differ on every
+page; ``article`` and ``main`` are never removed, nor is what stands around them, and where a page
+has them, the text is theirs. Inside them the entropies remove a box (a ``div``, a list, a table and
+so on, no heading or paragraph) that stands with the same words on nearly every page of a host:
+importance below ``SURE`` on at least ``MANY`` pages, unless the article repeats as well. If a page
+would lose all its text to entropies alone, they are not applied to it.
 
 Text rules: character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined by one space in page order. Nothing is cut or capped.
@@ -45,7 +47,8 @@ from ledgerweave.llm.common import Scratch, per_batch
 
 DECAY = 0.9
 THRESHOLD = 0.35
-SENT_NODES = 2_000_000  # removed nodes that may be sent to every task: 16 MB
+SURE, MANY = 0.05, 8
+SENT_NODES = 2_000_000  # removed nodes that may be sent to every task, as sorted numbers: 16 MB
 ROWS = 200_000  # statistics that leave a task together
 
 TOKEN = re.compile(
@@ -73,6 +76,7 @@ NOISE_TAGS = frozenset(
     "canvas object dialog menu".split()
 )
 MAIN_TAGS = frozenset(("article", "main"))
+BOXES = frozenset("div section ul ol dl table details fieldset figure center".split())
 NOISE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs captcha comment "
     "comments consent contentinfo cookie cookies copyright discussion disqus footer form gdpr header "
@@ -115,6 +119,7 @@ class Page:
         self.key = [xxhash.xxh3_64_intdigest(host.encode()) >> 1]
         self.inside = [False]  # whether it or one around it is an article or main
         self.frame = [True]  # what every page is made of: never a branch to remove
+        self.box = [False]
         self.runs: list[tuple[int, str]] = []  # element, text; "" separates blocks
         self._parse(html)
 
@@ -132,6 +137,7 @@ class Page:
         self.main.append(main)
         self.inside.append(main or self.inside[parent])
         self.frame.append(tag in ("html", "body"))
+        self.box.append(tag in BOXES and not main)
         self.noise.append(
             tag in NOISE_TAGS
             or (tag == "header" and not self.inside[parent])
@@ -185,7 +191,7 @@ class Page:
             if stack[depth][0] in barrier:
                 return
 
-    def _dropped(self, low) -> list[bool]:
+    def _dropped(self, low, sure) -> list[bool]:
         """Per element, whether it or one around it is removed."""
         noise: list[bool] = []
         for i, parent in enumerate(self.parent):
@@ -198,10 +204,14 @@ class Page:
                     around[at] = True
                     at = self.parent[at]
         out: list[bool] = []
+        own: list[bool] = []  # whether the article around it differs between pages
         for i, parent in enumerate(self.parent):
+            own.append(self.key[i] not in low if self.main[i] else parent >= 0 and own[parent])
             kept = self.inside[i] or around[i] or self.frame[i]
+            low_box = self.box[i] and own[i] and self.key[i] in sure
             out.append(
                 (parent >= 0 and out[parent]) or noise[i] or (not kept and self.key[i] in low)
+                or (self.inside[i] and low_box)
             )
         return out
 
@@ -210,18 +220,20 @@ class Page:
                  if not text or kept(at)]
         return " ".join("".join(parts).split())
 
-    def text(self, low) -> str:
-        """Main text without noise and without the branches whose key is in ``low``."""
-        dropped = self._dropped(low)
+    def text(self, low, sure=frozenset()) -> str:
+        """Main text without noise, without the branches whose key is in ``low`` and, inside the
+        article, without the boxes whose key is in ``sure``."""
+        dropped = self._dropped(low, sure)
         inside = []
         for i, parent in enumerate(self.parent):
             inside.append(self.main[i] and not dropped[i] or parent >= 0 and inside[parent])
         if any(inside):
-            return self._text(lambda at: inside[at] and not dropped[at])
+            found = self._text(lambda at: inside[at] and not dropped[at])
+            return found if found or not sure else self.text(low)
         found = self._text(lambda at: not dropped[at])
         if found or not low:
             return found
-        plain = self._dropped(())
+        plain = self._dropped((), ())
         return self._text(lambda at: not plain[at])
 
     def statistics(self) -> Iterator[tuple[int, int, int]]:
@@ -300,16 +312,29 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     rows = pages.select(
         F.col(key).cast("long").alias("id"), F.col(url).alias("url"), F.col(html).alias("html")
     )
-    low = scratch.write(
-        "low", importance(rows).where(F.col("importance") < threshold).select("node")
-    )
+    judged = importance(rows).where(F.col("importance") < threshold)
+    sure = (F.col("importance") < min(SURE, threshold)) & (F.col("pages") >= MANY)
+    low = scratch.write("low", judged.select("node", sure.alias("sure")))
     schema = pa.schema([("id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
     if low.count() <= sent_nodes:
-        sent = spark.sparkContext.broadcast(frozenset(low.toArrow().column("node").to_pylist()))
+        table = low.orderBy("node").toArrow()
+        sent = spark.sparkContext.broadcast(
+            (table.column("node").to_numpy(), table.column("sure").to_numpy(zero_copy_only=False))
+        )
 
         def work(cols):
-            texts = [Page(h, host_of(u)).text(sent.value) if h else ""
-                     for u, h in zip(cols["url"], cols["html"])]
+            nodes, certain = sent.value
+            texts = []
+            for url, html in zip(cols["url"], cols["html"]):
+                if not html:
+                    texts.append("")
+                    continue
+                page = Page(html, host_of(url))
+                keys = np.array(page.key, np.int64)
+                at = np.minimum(np.searchsorted(nodes, keys), max(0, len(nodes) - 1))
+                hit = nodes[at] == keys if len(nodes) else np.zeros(len(keys), bool)
+                found = set(keys[hit].tolist())
+                texts.append(page.text(found, set(keys[hit][certain[at[hit]]].tolist()) if found else found))
             return {"id": cols["id"], "url": cols["url"], "text": texts}
 
         found = rows
@@ -323,17 +348,17 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
                                         ("nodes", pa.list_(pa.int64()))])),
             "id bigint, url string, nodes array<bigint>",
         ).select("id", "url", F.explode("nodes").alias("node"))
-        own = listed.join(low, "node", "left_semi").groupBy("id", "url").agg(
-            F.collect_set("node").alias("low")
-        ).select(F.col("id").alias("own_id"), F.col("url").alias("own_url"), "low")
+        own = listed.join(low, "node").groupBy("id", "url").agg(
+            F.collect_set("node").alias("low"), F.collect_set(F.when(F.col("sure"), F.col("node"))).alias("sure")
+        ).select(F.col("id").alias("own_id"), F.col("url").alias("own_url"), "low", "sure")
         found = rows.join(
             own, F.col("id").eqNullSafe(F.col("own_id")) & F.col("url").eqNullSafe(F.col("own_url")),
             "left",
-        ).select("id", "url", "html", "low")
+        ).select("id", "url", "html", "low", "sure")
 
         def work(cols):
-            texts = [Page(h, host_of(u)).text(frozenset(own or ())) if h else ""
-                     for u, h, own in zip(cols["url"], cols["html"], cols["low"])]
+            texts = [Page(h, host_of(u)).text(frozenset(low or ()), frozenset(sure or ())) if h else ""
+                     for u, h, low, sure in zip(cols["url"], cols["html"], cols["low"], cols["sure"])]
             return {"id": cols["id"], "url": cols["url"], "text": texts}
 
     texts = found.mapInArrow(per_batch(work, schema), "id bigint, url string, text string")

@@ -87,3 +87,47 @@ def test_elements_of_any_depth_are_opened():
         page = Page(f"{deep}x<i>y</i>", "h")
         rows = list(page.statistics())
         assert len(rows) == len(set(rows)) == 3 * (len(page.key) - 1) - 1  # styles, x, y; x is not in i
+
+
+def articles(n, host="e.example", copies=False):
+    """Pages with an article that holds, among its own text, a box of an unlisted class."""
+    box = "<div class=zq><p>Same words on every page</p></div>"
+    return [(i, f"http://{host}/{i}", f"<nav>n{i}</nav><article><h2>About</h2><p>Own words {0 if copies else i}.</p>{box}"
+             f"<div class=body>More own words {0 if copies else i}.</div></article>") for i in range(n)]
+
+
+def brute(rows):
+    """The same rule by plain counting: a box is removed if all pages of its host have its words and
+    the article differs; everything else of the article stays."""
+    hosts = {}
+    for _, url, html in rows:
+        hosts.setdefault(site_style.host_of(url), []).append(html)
+    out = {}
+    for i, url, html in rows:
+        pages = hosts[site_style.host_of(url)]
+        text = Page(html, "h").text(frozenset())
+        texts = {Page(other, "h").text(frozenset()) for other in pages}
+        repeats = len(pages) >= site_style.MANY and len(texts) == len(pages)
+        out[url] = text.replace("Same words on every page ", "") if repeats else text
+    return out
+
+
+def test_entropies_judge_boxes_inside_an_article(spark):
+    rows = articles(30) + articles(4, "few.example") + articles(20, "copies.example", copies=True)
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    want = brute(rows)
+    for limit in (site_style.SENT_NODES, -1):
+        got = {r["url"]: r["text"] for r in site_style.extract(frame, sent_nodes=limit).collect()}
+        assert got == want
+    assert want["http://e.example/3"] == "About Own words 3. More own words 3."
+    assert "Same words" in want["http://few.example/3"] and "Same words" in want["http://copies.example/3"]
+    # Without the style tree the box stays, so it is the tree that decides.
+    off = {r["url"]: r["text"] for r in site_style.extract(frame, threshold=-1.0).collect()}
+    assert sum(off[u] != want[u] for u in want) == 30
+
+
+def test_a_page_whose_article_is_only_the_repeated_box_keeps_it(spark):
+    rows = [(i, f"http://f.example/{i}", f"<article><p>{'' if i else 'x'}</p><div class=zq>all there is</div></article>")
+            for i in range(20)]
+    got = site_style.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    assert {r["page_id"]: r["text"] for r in got.collect()} == {0: "x", **{i: "all there is" for i in range(1, 20)}}
