@@ -2,10 +2,12 @@
 
 Changes are signed: an insert adds a document's tokens, a delete takes them away, a revision
 takes the old count away and adds the new one. A batch of changes is summed to one row per key
-before anything is shuffled or stored, written aside, and committed by one rename to
-``batches/<batch id>``. Committing an id that is there already changes nothing, so a batch
-can be sent again after any failure. ``totals`` adds up the committed batches; ``compact``
-folds them into a base that remembers their ids. One committer at a time is assumed.
+before anything is shuffled or stored, and written to a folder of its attempt. One empty marker file
+names the batch and the attempt; it is created last, and only what a marker names is read, so a
+writer lost half-way leaves nothing that counts, on a file system as on an object store.
+Committing an id that is there already changes nothing, so a batch can be sent again after any
+failure. ``totals`` adds up the committed batches; ``compact`` folds them into a base that
+remembers their ids, and removes what it has folded. One committer at a time is assumed.
 
 Defined results for unusual input: null source, language or tokenizer are keys of their own;
 null counts are 0; an unknown kind of change is an error when the batch is written; an empty
@@ -18,6 +20,7 @@ from __future__ import annotations
 import base64
 import uuid
 from collections.abc import Callable
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -55,45 +58,56 @@ class Rollup:
         self._hadoop = spark._jvm.org.apache.hadoop.fs
         root = self._hadoop.Path(self.folder)
         self._fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-        for name in ("batches", "bases"):
+        for name in ("batches", "bases", "attempts"):
             self._fs.mkdirs(self._path(name))
 
     def _path(self, *parts: str):
         return self._hadoop.Path("/".join((self.folder, *parts)))
 
-    def _names(self, kind: str) -> list[str]:
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(kind)))
+    def _attempt(self, attempt: str) -> str:
+        return f"{self.folder}/attempts/{attempt}"
 
-    def _publish(self, frame: DataFrame, kind: str, name: str) -> bool:
-        """Write aside and rename; false if the name was there first."""
-        aside = f"attempts/{uuid.uuid4().hex}"
-        frame.write.parquet(f"{self.folder}/{aside}")
-        target = self._path(kind, name)
-        if self._fs.exists(target) or not self._fs.rename(self._path(aside), target):
-            self._fs.delete(self._path(aside), True)
-            return False
-        return True
+    def _markers(self, kind: str) -> dict[str, str]:
+        """Attempt by name, from file names alone; of two markers of a name the first counts."""
+        found: dict[str, str] = {}
+        for name in sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(kind))):
+            label, _, attempt = name.partition(",")
+            if attempt:
+                found.setdefault(unquote(label), attempt)
+        return found
+
+    def _mark(self, kind: str, name: str, attempt: str) -> None:
+        self._fs.create(self._path(kind, f"{quote(name, safe='')},{attempt}"), False).close()
+
+    def _remove(self, kind: str, name: str, attempt: str) -> None:
+        """The marker first: data without one counts for nothing."""
+        self._fs.delete(self._path(kind, f"{quote(name, safe='')},{attempt}"), False)
+        self._fs.delete(self._path("attempts", attempt), True)
 
     def _base(self) -> tuple[str | None, set[str]]:
-        """Newest base and the batches it holds."""
-        bases = self._names("bases")
+        """Attempt of the newest base, and the batches it holds."""
+        bases = self._markers("bases")
         if not bases:
             return None, set()
-        held = self.spark.read.parquet(f"{self.folder}/bases/{bases[-1]}/held").collect()
-        return bases[-1], {r["batch"] for r in held}
+        newest = bases[max(bases)]
+        held = self.spark.read.schema("batch string").parquet(f"{self._attempt(newest)}/held").collect()
+        return newest, {r["batch"] for r in held}
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Apply a batch once; false if its id was committed before."""
-        if self._fs.exists(self._path("batches", batch)) or batch in self._base()[1]:
+        if batch in self._markers("batches") or batch in self._base()[1]:
             return False
-        return self._publish(signed(changes), "batches", batch)
+        attempt = uuid.uuid4().hex
+        signed(changes).write.parquet(self._attempt(attempt))
+        self._mark("batches", batch, attempt)
+        return True
 
     def totals(self) -> DataFrame:
         """``source, lang, tokenizer, documents, tokens`` over all committed batches."""
         base, held = self._base()
-        paths = [f"{self.folder}/batches/{n}" for n in self._names("batches") if n not in held]
+        paths = [self._attempt(a) for name, a in self._markers("batches").items() if name not in held]
         if base:
-            paths.append(f"{self.folder}/bases/{base}/totals")
+            paths.append(f"{self._attempt(base)}/totals")
         rows = (
             self.spark.read.schema(self.FIELDS).parquet(*paths) if paths
             else self.spark.createDataFrame([], self.FIELDS)
@@ -104,17 +118,18 @@ class Rollup:
         return summed.where("documents <> 0 OR tokens <> 0")
 
     def compact(self) -> None:
-        """Fold all committed batches into a new base, then remove the folded batches."""
-        base, held = self._base()
-        batches = [n for n in self._names("batches") if n not in held]
-        name = f"{len(self._names('bases')):08d}"
-        aside = f"{self.folder}/attempts/{uuid.uuid4().hex}"
-        self.totals().write.parquet(f"{aside}/totals")
+        """Fold all committed batches into a new base, then remove them and the bases before."""
+        _, held = self._base()
+        bases, batches = self._markers("bases"), self._markers("batches")
+        attempt = uuid.uuid4().hex
+        self.totals().write.parquet(f"{self._attempt(attempt)}/totals")
         ids = self.spark.createDataFrame([(b,) for b in sorted(held | set(batches))], "batch string")
-        ids.coalesce(1).write.parquet(f"{aside}/held")
-        if self._fs.rename(self._hadoop.Path(aside), self._path("bases", name)):
-            for batch in batches:
-                self._fs.delete(self._path("batches", batch), True)
+        ids.coalesce(1).write.parquet(f"{self._attempt(attempt)}/held")
+        self._mark("bases", f"{max(map(int, bases), default=0) + 1:08d}", attempt)
+        for name, old in batches.items():
+            self._remove("batches", name, old)
+        for name, old in bases.items():
+            self._remove("bases", name, old)
 
 
 # Tokenizers by path, loaded once per worker.

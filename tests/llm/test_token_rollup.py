@@ -83,3 +83,33 @@ def test_query_with_null_and_repeated_ids(spark, docs_of, tmp_path):
         one, two, three = (len(encode(t)) for t in texts)
         want |= {("fr", name): (1, one), ("en", name): (3, two + three)}
     assert found == want
+
+
+def test_a_writer_lost_half_way_leaves_nothing_that_counts(spark, monkeypatch):
+    r = rollup(spark)
+    rows = [("insert", "a", "en", "v1", 10, None)]
+
+    def lost(*_):
+        raise OSError("gone before the marker")
+
+    monkeypatch.setattr(token_rollup.Rollup, "_mark", lost)
+    with pytest.raises(OSError):
+        r.commit("1", changes(spark, rows))
+    with pytest.raises(OSError):
+        r.compact()
+    monkeypatch.undo()
+    assert totals(r) == {} and r.commit("1", changes(spark, rows)) and not r.commit("1", changes(spark, rows))
+    assert totals(r) == {("a", "en", "v1"): (1, 10)}
+
+
+def test_compaction_that_was_cut_off_counts_no_batch_twice(spark, monkeypatch):
+    r = rollup(spark)
+    for name in ("1", "a,b/c%"):
+        assert r.commit(name, changes(spark, [("insert", "a", "en", "v1", 10, None)]))
+    monkeypatch.setattr(token_rollup.Rollup, "_remove", lambda *_: None)
+    r.compact()  # the base is there, and so are the batches it holds
+    monkeypatch.undo()
+    assert totals(r) == {("a", "en", "v1"): (2, 20)} and not r.commit("a,b/c%", changes(spark, []))
+    r.compact()
+    assert totals(r) == {("a", "en", "v1"): (2, 20)} and not r._markers("batches") and len(r._markers("bases")) == 1
+    assert not r.commit("1", changes(spark, []))
