@@ -264,7 +264,8 @@ def score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text",
           block_bytes: int = 12 << 20) -> DataFrame:
     """Score every row; rows whose boolean column ``train`` is true are learned from.
 
-    Returns ``key, n_tokens, n_known, train_tokens, base_score, score`` and the flag.
+    Returns ``key, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte`` and the flag;
+    the last is the code length of the scored bytes over their number.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "context-tree")
@@ -273,7 +274,7 @@ def score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text",
         F.coalesce(F.col(train), F.lit(False)).alias("train"),
     )
     blocks = max(1, -(-input_bytes(rows) // block_bytes))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
 
     def list_keys(block: pa.Table) -> pa.Table:
         keys, counts = _block_counts(
@@ -338,7 +339,7 @@ def score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text",
         first_pair = np.searchsorted(keys, 0)
         pair_keys, pair_values = keys[first_pair:], values[first_pair:]
         places: dict[bytes, int] = {}
-        seen = np.zeros(0)
+        seen, lengths = np.zeros(0), np.zeros(0, np.int64)
         parts = []
         for part in block.to_batches(max_chunksize=512):
             texts = [tokens_of(t) for t in part.column("text").to_pylist()]
@@ -350,22 +351,26 @@ def score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text",
             at = np.fromiter(map(places.__getitem__, chain.from_iterable(texts)), np.int64, sizes.sum())
             count = seen[at]
             base = np.log10((count + 0.5) / (tokens + 0.5 * (kinds + 1)))
+            lengths = np.concatenate([lengths, np.fromiter(map(len, fresh), np.int64, len(fresh))])
+            # Words, blanks between them and the end, which is one byte.
+            coded = np.add.reduceat(lengths[at], starts) + np.maximum(sizes - 2, 0)
             parts.append((
-                sizes, np.add.reduceat((count > 0).astype(np.int64), starts),
+                sizes, coded, np.add.reduceat((count > 0).astype(np.int64), starts),
                 np.add.reduceat(base, starts), _sums(texts, pair_keys, pair_values),
             ))
-        n_tokens, n_known, base, total = (
-            np.concatenate(c) if parts else [] for c in (zip(*parts) if parts else [()] * 4)
+        n_tokens, coded, n_known, base, total = (
+            np.concatenate(c) if parts else np.zeros(0) for c in (zip(*parts) if parts else [()] * 5)
         )
         return pa.table({
             "id": block.column("id").cast(pa.int64()), "train": block.column("train"),
             "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()),
             "train_tokens": pa.array([tokens] * len(block), pa.int64()),
             "base_score": pa.array(base, pa.float64()), "score": pa.array(total, pa.float64()),
+            "bits_per_byte": pa.array(-total * np.log2(10) / coded if len(coded) else coded, pa.float64()),
         })
 
     scored = rows.groupBy("block").cogroup(lookups.groupBy("block")).applyInArrow(
         score_block, "id bigint, train boolean, n_tokens bigint, n_known bigint, "
-        "train_tokens bigint, base_score double, score double",
+        "train_tokens bigint, base_score double, score double, bits_per_byte double",
     )
     return scored.withColumnsRenamed({"id": key, "train": train})

@@ -148,7 +148,7 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.select("doc_id", "text", (crc_share("doc_id", 5) != 1).alias("learn"))
     return context_tree.score(docs, "learn").select(
         "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
-        "base_score", "score",
+        "base_score", "score", "bits_per_byte",
     )
 
 

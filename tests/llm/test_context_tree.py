@@ -93,6 +93,7 @@ def test_scores_equal_brute_force(spark, docs_of):
         assert r["n_known"] == sum(w in counts for w in own)
         assert abs(r["base_score"] - base) < 1e-9
         assert abs(r["score"] - brute.log10(ctw.bytes_of(own))) < 1e-6
+        assert abs(r["bits_per_byte"] + r["score"] / math.log10(2) / len(ctw.bytes_of(own))) < 1e-9
 
 
 def test_a_node_predicts_a_distribution():
@@ -115,4 +116,5 @@ def test_odd_texts_and_no_training(spark, docs_of):
     for i, text in enumerate(ODD_TEXTS):
         size = len(ctw.bytes_of(ctw.tokens_of(text)))
         assert abs(got[i]["score"] - size * 8 * math.log10(0.5)) < 1e-6 * max(1, size)
+        assert abs(got[i]["bits_per_byte"] - 8) < 1e-6
     assert ctw.score(docs.limit(0), "learn").count() == 0
