@@ -527,21 +527,19 @@ def _exact_links(percent: int):
     return work
 
 
-def _cells(clusters: DataFrame, joined: DataFrame, reps: DataFrame) -> DataFrame:
-    """``root, low, high, block, id, name``: of clusters that are more than one group yet, the
-    members dealt into blocks, and each pair of blocks one cell.
+def _cells(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """``root, low, high, block, id, name``: members of clusters that are several groups yet, dealt
+    into blocks, and each pair of blocks one cell.
 
-    ``joined`` has the groups that confirmed links make. Members of a cluster's largest group need
-    no comparison with one another, so they get blocks of their own and meet the others only.
-    A block holds about ``BLOCK`` members and ``BLOCK_SHINGLES`` shingles.
+    ``members`` has ``root, id, name``. Members of a cluster's largest group need no comparison with
+    one another, so they get blocks of their own and meet the others only. A block holds about
+    ``BLOCK`` members and ``BLOCK_SHINGLES`` shingles.
     """
-    known = clusters.withColumnRenamed("node", "id").join(
-        joined.select(F.col("node").alias("id"), F.col("root").alias("name")), "id", "left"
-    ).select("root", "id", F.coalesce("name", "id").alias("name")).join(reps.select("id", "n"), "id")
+    known = members.join(reps.select("id", "n"), "id")
     groups = known.groupBy("root", "name").agg(F.count("*").alias("members"))
     largest = groups.groupBy("root").agg(
-        F.count("*").alias("groups"), F.max_by("name", F.struct("members", "name")).alias("main")
-    ).where("groups > 1").select(F.col("root").alias("several"), "main")
+        F.max_by("name", F.struct("members", "name")).alias("main")
+    ).select(F.col("root").alias("several"), "main")
     known = known.join(largest, F.col("root") == F.col("several")).withColumn("inside", F.col("name") == F.col("main"))
     sizes = known.groupBy("several", "inside").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
@@ -592,17 +590,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     if inner is not None:
         found = found.unionByName(inner)
     found = scratch.write("found", found)
-    clusters = scratch.write("clusters", components(found.select("a", "b"), scratch, "cluster"))
+    nodes = scratch.write("nodes", found.select(F.col("a").alias("id")).union(found.select("b")).distinct())
     schema = pa.schema([("id", pa.int64()), ("members", pa.binary())])
 
     def sets(cols):
         return {"id": cols["id"],
                 "members": [s.tobytes() for s in shingle_sets(cols["text"], width)]}
 
-    needed = scratch.write("sets", rows.join(clusters.select(F.col("node").alias("id")), "id", "left_semi").mapInArrow(
+    needed = scratch.write("sets", rows.join(nodes, "id", "left_semi").mapInArrow(
         per_batch(sets, schema), "id bigint, members binary"
     ))
-    # Every member's best link to a smaller id is confirmed; a cluster that they join is done.
+    # Every member's best link to a smaller id is confirmed; where these join all, all is done.
     best = found.groupBy("b").agg(F.max_by("a", F.struct("alike", "a")).alias("a"))
     left = needed.select(F.col("id").alias("a"), F.col("members").alias("left"))
     right = needed.select(F.col("id").alias("b"), F.col("members").alias("right"))
@@ -610,10 +608,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         _confirmed(percent), "a bigint, b bigint"
     ))
     joined = scratch.write("joined", components(sure, scratch, "joined-groups"))
-    links = _cells(clusters, joined, reps).join(needed, "id").groupBy("root", "low", "high").applyInArrow(
-        _exact_links(percent), "a bigint, b bigint"
-    ).unionByName(sure)
-    roots = components(links, scratch, "root")
+    names = scratch.write("names", nodes.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
+        "id", F.coalesce("root", "id").alias("name")
+    ))
+    # Links that may hold between two groups make clusters of groups, which are decided exactly.
+    ends = [names.select(F.col("id").alias(c), F.col("name").alias(f"name_{c}")) for c in "ab"]
+    open_ = found.select("a", "b").join(ends[0], "a").join(ends[1], "b").where("name_a <> name_b").select(
+        F.col("name_a").alias("a"), F.col("name_b").alias("b")
+    )
+    clusters = scratch.write("clusters", components(open_, scratch, "cluster"))
+    roots = joined
+    if not clusters.isEmpty():
+        members = names.join(clusters.withColumnRenamed("node", "name"), "name").select("root", "id", "name")
+        links = _cells(members, reps).join(needed, "id").groupBy("root", "low", "high").applyInArrow(
+            _exact_links(percent), "a bigint, b bigint"
+        )
+        between = links.join(ends[0], "a").join(ends[1], "b").select(
+            F.col("name_a").alias("a"), F.col("name_b").alias("b")
+        )
+        last = components(between, scratch, "root").select(F.col("node").alias("name"), F.col("root").alias("last"))
+        roots = names.join(last, "name", "left").select(
+            F.col("id").alias("node"), F.coalesce("last", "name").alias("root")
+        )
     named = classes.select("digest", "rep").join(
         roots.withColumnRenamed("node", "rep"), "rep", "left"
     ).select("digest", F.coalesce("root", "rep").alias("component_id"))
@@ -625,7 +641,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     ).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
     done = scratch.write("result", result)
     scratch.drop(
-        "described", "classes", "clusters", "level", "blocks", "met", "inner", "named", "one", "found", "sets", "sure",
-        "joined",
+        "described", "classes", "clusters", "level", "blocks", "met", "inner", "named", "one", "found", "nodes", "sets",
+        "sure", "joined", "names",
     )
     return done
