@@ -48,6 +48,7 @@ REGION = 3_000
 SLACK = 4.1
 BLOCK, BLOCK_SHINGLES = 2_048, 2_000_000
 LARGE = 16  # groups of so many members are ruled out as a whole where they are too far away
+FEW = 24  # so many members are compared all at once
 OFTEN = 64  # a shingle in more sets of a cell is counted by matrix products
 COLUMNS = 2_048
 
@@ -257,6 +258,19 @@ def _left_apart(links: Links, sigs: np.ndarray, sizes: np.ndarray, least: float,
             links.rename(reached, links.names[at])
 
 
+def _few(sigs: np.ndarray, sizes: np.ndarray, ids: np.ndarray, least: float, percent: int) -> pa.Table:
+    """Links of a region of a few members, the best ones first, until all that may be linked are."""
+    alike = (sigs[:, None, :] == sigs[None, :, :]).mean(axis=2)
+    left, right = np.nonzero(np.triu((alike >= least) & _fits(sizes[:, None], sizes[None, :], percent), 1))
+    links = Links(np.arange(len(ids)))
+    for i in np.argsort(-alike[left, right], kind="stable").tolist():
+        a, b = left[i], right[i]
+        if links.names[a] != links.names[b]:
+            links.add(left[i : i + 1], right[i : i + 1], alike[a, b : b + 1])
+            links.rename(links.names[b], links.names[a])
+    return links.table(ids)
+
+
 def _spanning(least: float, percent: int):
     """Links that join all members of a region that may be linked; in a cell of two blocks,
     sides 1 and 2, those between them that ``name`` does not join already."""
@@ -264,6 +278,8 @@ def _spanning(least: float, percent: int):
         tree = region.column("tree")[0].as_py()
         sigs = _in_order(_matrix(region.column("sig")), tree)
         side = region.column("side").to_numpy()
+        if len(sigs) <= FEW and not side.any():
+            return _few(sigs, region.column("n").to_numpy(), region.column("id").to_numpy(), least, percent)
         if side.any():
             order = np.arange(len(sigs))
         else:
