@@ -252,6 +252,11 @@ def channel_attribution(wh: Warehouse) -> DataFrame:
     )
 
 
+# Labels of the two ways in the published fan-out demonstration, and the column names
+# of the published report of unresolved identities (``unresolved_visible``).
+RIGHT_WAY, WRONG_WAY = "RIGHT_separate_aggregation", "WRONG_direct_fact_join"
+
+
 def fanout_totals(wh: Warehouse) -> DataFrame:
     """Right and wrong way to total three facts.
 
@@ -266,14 +271,14 @@ def fanout_totals(wh: Warehouse) -> DataFrame:
     case = wh.case_rows.groupBy(per).agg(_rows().alias("c"))
     copies = F.col("a") * F.col("c")
     wrong = tx.join(act, per).join(case, per).agg(
-        F.lit("WRONG_direct_fact_join").alias("approach"),
+        F.lit(WRONG_WAY).alias("approach"),
         F.coalesce(F.sum(F.col("amount") * copies.cast("decimal(18,0)")), F.lit(0))
         .cast("decimal(38,2)")
         .alias("total_amount_aud"),
         F.coalesce(F.sum(F.col("t") * copies), F.lit(0)).cast("bigint").alias("rows"),
     )
     right = wh.transaction_rows.agg(
-        F.lit("RIGHT_separate_aggregation").alias("approach"),
+        F.lit(RIGHT_WAY).alias("approach"),
         _money("amount_aud").cast("decimal(38,2)").alias("total_amount_aud"),
         _rows().alias("rows"),
     )
