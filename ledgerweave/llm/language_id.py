@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,12 +37,18 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Model:
-    """Log frequencies: row ``r`` of ``weights`` belongs to the key whose value is ``r``."""
+    """Log frequencies: row ``r`` of ``weights`` belongs to the key at ``r`` of ``marked``, which has
+    its order (0 for a word) as its first character. Both are flat arrays, on the driver and on
+    the way to the tasks."""
 
     languages: list[str]
-    keys: list[tuple[str, int]]
+    marked: pa.Array
     weights: np.ndarray
 
+    @property
+    def keys(self) -> list[tuple[str, int]]:
+        return [(k[1:], int(k[0])) for k in self.marked.to_pylist()]
+
 
 def _grams(word: str, n: int) -> list[str]:
     """Character n-grams of a word with its ends marked; a shorter word has none but n = 1."""
@@ -119,25 +126,24 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
             kept = kept.where(~of_order).unionByName(first.drop("place"))
     rows = (
         kept.join(F.broadcast(totals), ["lang", "order"])
-        .select("lang", "order", "key", "n", "total", "kinds").toArrow().to_pydict()
+        .select("lang", "order", F.concat("order", "key").alias("key"), "n", "total", "kinds").toArrow()
     )
     scratch.drop("words", "counts")
-    languages = sorted(set(rows["lang"]))
-    number = {name: i for i, name in enumerate(languages)}
+    languages = sorted(rows.column("lang").unique().to_pylist())
+    known_as = pa.array(languages, pa.string())
+    number = np.asarray(pc.index_in(rows.column("lang"), known_as), np.int64)
+    order, n, total, kinds = (np.asarray(rows.column(c)) for c in ("order", "n", "total", "kinds"))
+    below = total + 0.5 * (kinds + 1)
+    # What a language gives a key of an order that it does not have itself.
     floors = np.zeros((max(ORDERS) + 1, len(languages)), np.float64)
-    for name, order, total, kinds in zip(rows["lang"], rows["order"], rows["total"], rows["kinds"]):
-        floors[order, number[name]] = np.log(0.5 / (total + 0.5 * (kinds + 1)))
-    places: dict[tuple[str, int], int] = {}
-    for entry in zip(rows["key"], rows["order"]):
-        places.setdefault(entry, len(places))
-    weights = np.array([floors[order] for _, order in places], np.float32).reshape(
-        len(places), len(languages)
-    )
-    for word, order, name, n, total, kinds in zip(
-        rows["key"], rows["order"], rows["lang"], rows["n"], rows["total"], rows["kinds"]
-    ):
-        weights[places[word, order], number[name]] = np.log((n + 0.5) / (total + 0.5 * (kinds + 1)))
-    return Model(languages, list(places), weights)
+    floors[order, number] = np.log(0.5 / below)
+    marked = rows.column("key").combine_chunks().dictionary_encode()
+    place = np.asarray(marked.indices, np.int64)
+    order_of = np.zeros(len(marked.dictionary), np.int64)
+    order_of[place] = order
+    weights = floors[order_of].astype(np.float32)
+    weights[place, number] = np.log((n + 0.5) / below)
+    return Model(languages, marked.dictionary, weights)
 
 
 class _Scorer:
@@ -149,7 +155,9 @@ class _Scorer:
     def __init__(self, model: Model):
         self.languages = model.languages
         self.weights = model.weights
-        self.row = {key: i for i, key in enumerate(model.keys)}
+        self.row: list[dict[str, int]] = [{} for _ in range(max(ORDERS) + 1)]
+        for i, key in enumerate(model.marked.to_pylist()):
+            self.row[int(key[0])][key[1:]] = i
         self.forget()
 
     def forget(self) -> None:
@@ -158,11 +166,12 @@ class _Scorer:
 
     def weight_of(self, word: str) -> np.ndarray:
         """A word's own log frequencies, or the mean over its longest known n-grams."""
-        found = self.row.get((word, 0))
+        found = self.row[0].get(word)
         if found is not None:
             return self.weights[found]
         for order in ORDERS:
-            rows = [self.row[g, order] for g in _grams(word, order) if (g, order) in self.row]
+            own = self.row[order]
+            rows = [own[g] for g in _grams(word, order) if g in own]
             if rows:
                 return self.weights[rows].mean(axis=0)
         return self.table[0]
