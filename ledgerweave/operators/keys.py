@@ -118,9 +118,11 @@ def rank_rows(
     """``row_number`` per group, safe for one huge group.
 
     Rows are shuffled once, on the group. Groups too large for one task are taken out before and
-    ranked by their position in range partitions.
+    ranked by their position in range partitions. The sort compares a hash of the group first:
+    ids that differ only behind a long common prefix are slow to compare.
     """
-    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint").alias(rank)
+    in_group = Window.partitionBy(F.xxhash64(*group), *group).orderBy(*order)
+    place = F.row_number().over(in_group).cast("bigint").alias(rank)
     hot = hot_groups(df, group, HOT_ROWS if hot_rows is None else hot_rows)
     if not hot:
         return df.select("*", place)

@@ -232,6 +232,7 @@ class Warehouse:
 
     @cached_property
     def tx_decision(self) -> DataFrame:
+        self.ready("xref_rows", "dim_account")
         return self.ws.table(
             "tx_decision",
             lambda: dp.decide_transactions(
@@ -268,6 +269,7 @@ class Warehouse:
     @cached_property
     def transaction_rows(self) -> DataFrame:
         """Accepted transactions in key order; reports read these, not the surrogate key."""
+        self.ready("tx_decision", "dim_channel")
         rows = self._with_channel(self._loaded(self.tx_decision)).select(
             "transaction_id",
             "customer_key",
@@ -285,6 +287,7 @@ class Warehouse:
 
     @cached_property
     def activity_rows(self) -> DataFrame:
+        self.ready("activity_decision", "dim_channel")
         rows = self._with_channel(self._loaded(self.activity_decision)).select(
             "activity_id",
             "customer_key",
