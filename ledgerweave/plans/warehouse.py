@@ -255,7 +255,7 @@ class Warehouse:
 
     @property
     def decisions(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return self.tx_decision, self.activity_decision, self.case_decision
+        return tuple(self.ready("tx_decision", "activity_decision", "case_decision").values())
 
     # ----------------------------------------------------------------- facts
 

@@ -2,7 +2,10 @@
 
 import re
 
+from conftest import SF_DIR
 from ledgerweave.operators import disposition as dp
+from ledgerweave.plans.warehouse import Warehouse
+from ledgerweave.sources.bank_adapter import bank_sources
 
 
 def plan_of(df) -> str:
@@ -27,3 +30,11 @@ def test_transactions_are_not_joined_back_on_their_id(spark, ws):
     assert got == [
         (1, 1, 7, 9, dp.LOAD), (2, 1, 7, 9, dp.LOAD), (3, 1, 7, 9, dp.LOAD), (4, 2, 7, 9, dp.REJECT_DUPLICATE),
     ]
+
+
+def test_decisions_are_taken_side_by_side(spark, ws, monkeypatch):
+    """No decision waits for another one's write."""
+    asked = []
+    monkeypatch.setattr(Warehouse, "ready", lambda self, *names: asked.append(names) or dict.fromkeys(names))
+    assert Warehouse(spark, bank_sources(spark, SF_DIR), ws).decisions == (None, None, None)
+    assert asked == [("tx_decision", "activity_decision", "case_decision")]
