@@ -27,7 +27,12 @@ MATCHED, AMBIGUOUS, UNMATCHED = "matched", "ambiguous", "unmatched"
 
 # Kinds of lookup key.
 DOB_EMAIL, DOB_PHONE, NAME_EMAIL, NAME = "dob_email", "dob_phone", "name_email", "name"
-_KEY = ["kind", "k1", "k2"]
+_KINDS = [DOB_EMAIL, DOB_PHONE, NAME_EMAIL, NAME]
+# A hash of k1 and k2 whose lowest bits are the kind: sorting compares it first, and equal marks
+# with equal k1 and k2 are equal keys. Text that differs only behind a long common prefix, as
+# kinds, birth dates and names do, is slow to sort.
+_KIND_BITS = 2
+_KEY = ["kind_mark", "k1", "k2"]
 
 
 def anchor_customers(customer: DataFrame) -> DataFrame:
@@ -56,17 +61,17 @@ def people(source: DataFrame, system: str, id_column: str) -> DataFrame:
 
 
 def _key(kind: str, k1: Column, k2: Column, when: Column | None = None) -> Column:
-    key = F.struct(
-        F.lit(kind).alias("kind"), k1.cast("string").alias("k1"), k2.cast("string").alias("k2")
-    )
+    k1, k2 = k1.cast("string"), k2.cast("string")
+    mark = F.shiftleft(F.xxhash64(k1, k2), _KIND_BITS).bitwiseOR(F.lit(_KINDS.index(kind)).cast("bigint"))
+    key = F.struct(mark.alias("kind_mark"), k1.alias("k1"), k2.alias("k2"))
     usable = k1.isNotNull() & k2.isNotNull()
     return F.when(usable if when is None else usable & when, key)
 
 
 def _lookup_keys(df: DataFrame, keys: Sequence[Column], keep: Sequence[Column | str]) -> DataFrame:
     """One row per usable key of each input row."""
-    exploded = df.select(*keep, F.explode(F.array_compact(F.array(*keys))).alias("_k"))
-    return exploded.select("_k.kind", "_k.k1", "_k.k2", *[c for c in exploded.columns if c != "_k"])
+    exploded = df.select(*keep, F.explode(F.array(*keys)).alias("_k")).where(F.col("_k").isNotNull())
+    return exploded.select("_k.*", *[c for c in exploded.columns if c != "_k"])
 
 
 def _contact_keys(name: Column, dob: Column, email: Column, phone: Column) -> list[Column]:
@@ -84,11 +89,14 @@ def anchor_lookup(anchors: DataFrame, persons: DataFrame, systems: Sequence[str]
     Both sides share one partial aggregation, so a contact detail carried by a
     third of all rows arrives at its reducer as one row per map task.
     """
+    # Names and dates become text once per row, not once per key that holds them.
+    texts = anchors.select(
+        "customer_key", norm_text(F.col("full_name")).alias("name"),
+        F.col("date_of_birth").cast("string").alias("dob"), "email", "phone",
+    )
     core = _lookup_keys(
-        anchors,
-        _contact_keys(
-            norm_text(F.col("full_name")), F.col("date_of_birth"), F.col("email"), F.col("phone")
-        ),
+        texts,
+        _contact_keys(*map(F.col, ("name", "dob", "email", "phone"))),
         ["customer_key", F.lit(None).cast("string").alias("source_system")],
     )
     pairs = _lookup_keys(
@@ -122,7 +130,7 @@ def resolve(
     lookup = ws.table(f"{name}_lookup", lambda: anchor_lookup(anchors, persons, systems))
     no_dob = F.col("dob").isNull()
     probes = _lookup_keys(
-        persons,
+        persons.withColumn("dob", F.col("dob").cast("string")),
         [
             _key(DOB_EMAIL, F.col("dob"), F.col("email")),
             _key(DOB_PHONE, F.col("dob"), F.col("phone")),
@@ -139,12 +147,14 @@ def resolve(
     own_rows = F.lit(0)
     for s in systems:
         own_rows = F.when(F.col("source_system") == s, F.col(f"rows_{s}")).otherwise(own_rows)
+    kind_of = F.col("kind_mark").bitwiseAND(F.lit((1 << _KIND_BITS) - 1))
     found = probes.join(lookup, _KEY, "left").select(
-        "source_system", "source_customer_id", "kind", "hits", "lowest", own_rows.alias("pair_rows")
+        "source_system", "source_customer_id", kind_of.alias("kind"), "hits", "lowest",
+        own_rows.alias("pair_rows"),
     )
 
     def of(kind: str, column: str) -> Column:
-        return F.max(F.when(F.col("kind") == kind, F.col(column)))
+        return F.max(F.when(F.col("kind") == _KINDS.index(kind), F.col(column)))
 
     gathered = found.groupBy("source_system", "source_customer_id").agg(
         of(DOB_EMAIL, "hits").alias("e_hits"),

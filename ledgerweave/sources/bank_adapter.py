@@ -307,11 +307,19 @@ def service_cases(events: DataFrame) -> DataFrame:
     )
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table to derive sources from. A million customers are a few MB and often one row group,
+    so one task would derive, hash and sort all their profiles, accounts and lookup keys: their
+    short raw rows are dealt out first."""
+    table = read_table(spark, sf_dir, name)
+    return table.repartition("c_custkey") if name == "customer" else table
+
+
 class Sources(Mapping[str, DataFrame]):
     """Source tables by name, each derived when it is first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, derived: Mapping[str, tuple]):
-        self._read = lambda name: read_table(spark, sf_dir, name)
+        self._read = lambda name: spread_table(spark, sf_dir, name)
         self._derived = derived
         self._frames: dict[str, DataFrame] = {}
 

@@ -2,8 +2,11 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from conftest import SF_DIR
 from ledgerweave.operators import disposition as dp
+from ledgerweave.operators import identity as idn
 from ledgerweave.plans.warehouse import Warehouse
 from ledgerweave.sources.bank_adapter import bank_sources
 
@@ -38,3 +41,22 @@ def test_decisions_are_taken_side_by_side(spark, ws, monkeypatch):
     monkeypatch.setattr(Warehouse, "ready", lambda self, *names: asked.append(names) or dict.fromkeys(names))
     assert Warehouse(spark, bank_sources(spark, SF_DIR), ws).decisions == (None, None, None)
     assert asked == [("tx_decision", "activity_decision", "case_decision")]
+
+
+def test_sources_of_one_row_group_are_derived_in_several_tasks(spark, ws):
+    """A million customers fit into one row group; their profiles are dealt out before they are made."""
+    sources = bank_sources(spark, SF_DIR)
+    for name in ("customer", "account", "customer_account", "payment_customer", "digital_customer"):
+        assert "hashpartitioning(c_custkey" in plan_of(sources[name]), name
+    raw = spark.read.parquet(f"{SF_DIR}/customer.parquet").count()
+    assert sources["customer"].select("customer_id").distinct().count() == sources["customer"].count() == raw
+
+
+def test_lookup_keys_sort_by_a_number(spark):
+    """Kinds, dates and names share long prefixes; kinds stay apart where their texts are equal."""
+    cols = [F.lit("1950-01-01"), F.lit("a")]
+    marks = [
+        r["m"] for kind in idn._KINDS
+        for r in spark.range(1).select(idn._key(kind, *cols)["kind_mark"].alias("m")).collect()
+    ]
+    assert [m & 3 for m in marks] == [0, 1, 2, 3] and len({m >> 2 for m in marks}) == 1
