@@ -1,10 +1,11 @@
-"""Many counts over many tables: one scan per table, one shuffle for all of them.
+"""Many counts over many tables: one scan per table, one count for all of them.
 
-A row of a table hands out one small tagged key per question it takes part in: a key to be
+A row of a table hands out the parts of questions that it takes part in, and its keys. Rows with
+keys are dealt out to bounded tasks; there each part becomes one small tagged key: a key to be
 counted, a key of a referencing or a referenced side, or nothing but the tag where a condition
 holds. The tagged keys of all tables are counted together, with map-side combination, so a value that a
-third of all rows hold is one row per task before it is shuffled. What a question wants to know
-follows from its groups.
+third of all rows hold is one row per task before it is shuffled for counting. What a question wants
+to know follows from its groups.
 """
 
 from __future__ import annotations
@@ -70,41 +71,62 @@ def orphans(
     return Question(name, (Part(table, keys, where), Part(other, other_keys, other=True)), lost)
 
 
-def _handed_out(parts: Sequence[tuple[int, Part]], width: int) -> str:
-    """SQL of what a row of a table hands out: an array of tagged keys, null tags to be dropped.
+def _taken(parts: Sequence[tuple[int, Part]], keys: Sequence[str], width: int) -> list[str]:
+    """SQL of what a row of a table hands out: the parts that it takes part in, and each key once."""
+    marks = [f"IF({p.where}, {number}, NULL)" if p.where else f"CAST({number} AS INT)" for number, p in parts]
+    told = f"filter(array({', '.join(marks)}), t -> t IS NOT NULL) AS told"
+    texts = [f"CAST(({k}) AS STRING) AS c{i}" for i, k in enumerate(keys)]
+    return [told, *texts, *[f"CAST(NULL AS STRING) AS c{i}" for i in range(len(keys), width)]]
 
-    Questions without keys are a list of numbers, so that many of them stay a short expression.
+
+def _chosen(of_part: Mapping[int, str], default: str) -> str:
+    """SQL of a value that depends on the part; parts of one value are listed together."""
+    alike: dict[str, list[str]] = {}
+    for number, value in of_part.items():
+        alike.setdefault(value, []).append(str(number))
+    alike.pop(default, None)
+    cases = " ".join(f"WHEN part IN ({', '.join(numbers)}) THEN {value}" for value, numbers in alike.items())
+    return f"CASE {cases} ELSE {default} END" if cases else default
+
+
+def _dealt_out(handed: DataFrame, width: int) -> DataFrame:
+    """Rows of equal keys together, in as many tasks as the session asks of a shuffle.
+
+    A task that reads a few MB may hold millions of short rows, each with several keys; counted
+    where they are read, its keys would all be in memory at once.
     """
-    no_keys = "".join(f", CAST(NULL AS STRING) AS k{i}" for i in range(width))
-    plain = [f"IF({p.where}, {tag}, NULL)" for tag, p in parts if not p.keys]
-    keyed = []
-    for tag, part in parts:
-        if part.keys:
-            mark = f"CAST({tag} AS INT)" if part.where is None else f"IF({part.where}, {tag}, NULL)"
-            missing = " OR ".join(f"({k}) IS NULL" for k in part.keys)
-            keys = [f"CAST(({k}) AS STRING)" for k in part.keys] + ["CAST(NULL AS STRING)"] * (width - len(part.keys))
-            named = "".join(f", {k} AS k{i}" for i, k in enumerate(keys))
-            keyed.append(f"struct({mark} AS tag, {str(part.other).lower()} AS other, {missing} AS open{named})")
-    arrays = []
-    if plain:
-        told = f"filter(array({', '.join(plain)}), t -> t IS NOT NULL)"
-        arrays.append(f"transform({told}, t -> struct(t AS tag, false AS other, false AS open{no_keys}))")
-    if keyed:
-        arrays.append(f"array({', '.join(keyed)})")
-    return f"inline(concat({', '.join(arrays)}))"
+    tasks = int(handed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return handed.repartition(tasks, *[f"c{i}" for i in range(width)])
 
 
 def answers(tables: Mapping[str, DataFrame], questions: Sequence[Question]) -> DataFrame:
     """(name, observed) of every question; each table is read once."""
     spark = next(iter(tables.values())).sparkSession
-    width = max((len(p.keys) for q in questions for p in q.parts), default=0)
-    names = [f"k{i}" for i in range(width)]
-    handed: dict[str, list[tuple[int, Part]]] = {}
-    for tag, question in enumerate(questions):
-        for part in question.parts:
-            handed.setdefault(part.table, []).append((tag, part))
-    keyed = union_all(
-        [tables[name].selectExpr(_handed_out(parts, width)).where("tag IS NOT NULL") for name, parts in handed.items()]
+    parts = [(tag, part) for tag, question in enumerate(questions) for part in question.parts]
+    by_table: dict[str, list[tuple[int, Part]]] = {}
+    for number, (_, part) in enumerate(parts):
+        by_table.setdefault(part.table, []).append((number, part))
+    keys_of = {name: list(dict.fromkeys(k for _, p in held for k in p.keys)) for name, held in by_table.items()}
+    width = max(map(len, keys_of.values()), default=0)
+    handed = {name: tables[name].selectExpr(*_taken(held, keys_of[name], width)) for name, held in by_table.items()}
+    with_keys = [df for name, df in handed.items() if keys_of[name]]
+    plain = [df for name, df in handed.items() if not keys_of[name]]
+    rows = union_all(([_dealt_out(union_all(with_keys), width)] if with_keys else []) + plain)
+
+    # Which column holds which key of a part.
+    held = [[f"c{keys_of[part.table].index(k)}" for k in part.keys] for _, part in parts]
+    longest = max(map(len, held), default=0)
+    names = [f"k{i}" for i in range(longest)]
+    null = "CAST(NULL AS STRING)"
+    keyed = rows.selectExpr("explode(told) AS part", *[f"c{i}" for i in range(width)]).selectExpr(
+        _chosen({n: f"{tag}" for n, (tag, _) in enumerate(parts)}, "NULL") + " AS tag",
+        _chosen({n: str(p.other).lower() for n, (_, p) in enumerate(parts)}, "false") + " AS other",
+        _chosen({n: " OR ".join(f"{c} IS NULL" for c in columns) or "false" for n, columns in enumerate(held)}, "false")
+        + " AS open",
+        *[
+            _chosen({n: columns[i] if i < len(columns) else null for n, columns in enumerate(held)}, null) + f" AS {k}"
+            for i, k in enumerate(names)
+        ],
     )
     grouped = keyed.groupBy("tag", "open", *names).agg(
         F.expr("count_if(NOT other) AS n"), F.expr("count_if(other) AS m")

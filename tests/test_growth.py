@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF_DIR
 from ledgerweave.operators import disposition as dp
 from ledgerweave.operators import identity as idn
+from ledgerweave.operators import one_scan
 from ledgerweave.plans.warehouse import Warehouse
 from ledgerweave.sources.bank_adapter import bank_sources
 
@@ -60,3 +61,19 @@ def test_lookup_keys_sort_by_a_number(spark):
         for r in spark.range(1).select(idn._key(kind, *cols)["kind_mark"].alias("m")).collect()
     ]
     assert [m & 3 for m in marks] == [0, 1, 2, 3] and len({m >> 2 for m in marks}) == 1
+
+
+def test_keys_of_one_scan_task_are_dealt_out(spark):
+    """Keys are counted in as many tasks as a shuffle has, however few tasks read the table."""
+    rows = spark.range(0, 30_000, 1, 1).select("id", (F.col("id") % 7).alias("g"))
+    asked = [
+        one_scan.spare_rows("spare", "t", ["id"]), one_scan.groups("groups", "t", ["g"], "n > 1"),
+        one_scan.orphans("lost", "t", ["id"], "t", ["g"]), one_scan.holds("small", "t", "id < 5"),
+    ]
+    lines = one_scan.answers({"t": rows}, asked)
+    assert {r["name"]: r["observed"] for r in lines.collect()} == {
+        "spare": 0, "groups": 7, "lost": 30_000 - 7, "small": 5,
+    }
+    assert "REPARTITION_BY_NUM" in plan_of(lines)
+    # Without keys there is nothing to hold, so nothing is moved.
+    assert "REPARTITION_BY_NUM" not in plan_of(one_scan.answers({"t": rows}, asked[-1:]))
