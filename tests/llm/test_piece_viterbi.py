@@ -90,3 +90,20 @@ def test_operator_on_odd_rows(spark, docs_of):
     kept = piece_viterbi.with_pieces(docs, queries.piece_model)
     assert kept.columns == ["doc_id", "text", "source", "n_chars", "piece_ids", "n_pieces", "decoded"]
     assert kept.limit(0).count() == 0 and piece_viterbi.encode(docs.limit(0), queries.piece_model).count() == 0
+
+
+def test_words_of_all_lengths_are_searched_together(monkeypatch):
+    """A search step costs the same for few words as for many, so lengths share one matrix."""
+    calls = []
+    search = piece_viterbi.Pieces._search
+    monkeypatch.setattr(piece_viterbi.Pieces, "_search", lambda self, words: calls.append(len(words)) or search(self, words))
+    table = piece_viterbi.Pieces(PATH)
+    texts = [" ".join("abé日"[i % 4] * i for i in range(1, 41)), None, "", "end"]
+    found = table.encode(texts)
+    assert calls == [41]
+    alone = piece_viterbi.Pieces(PATH)
+    for text, ids in zip(texts, found):
+        parts = [alone.encode([w])[0].tolist() for w in (text or "").split(" ") if w]
+        assert ids.tolist() == sum(parts, [])
+    assert table.decode_all(found) == [t or "" for t in texts]
+    assert table.decode_all(table.encode(["", None])) == ["", ""] and table.decode_all([]) == []
