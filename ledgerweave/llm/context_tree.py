@@ -38,7 +38,10 @@ DEPTH = 5
 END = b"\n"
 HALF = float(np.log(0.5))
 PREFIX = 2  # context bytes that stay together when trees are built
-_CHUNK = 4 << 20  # pairs sorted at once
+_CHUNK = 1 << 20  # pairs sorted at once
+_WAITING = 2 << 20  # distinct keys of sorted chunks that wait to be added up
+_WORDS = 1 << 17  # distinct words of a block held as text
+_ROWS = 1 << 16  # keys of a block handed to Spark at once
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -64,13 +67,22 @@ def mixed(own: np.ndarray, below: np.ndarray) -> np.ndarray:
     return np.logaddexp(HALF + own, HALF + below)
 
 
-def pairs_of(data: bytes) -> np.ndarray:
-    """(context, byte) pairs of a text as numbers: nearest context byte first, byte last."""
-    # Eight bytes up to and with each byte, read in place as one little-endian number.
-    last = np.ndarray((len(data),), "<u8", END * 7 + data, strides=(1,))
-    window = last >> np.uint64(8 * (7 - DEPTH))
-    context = window & np.uint64((1 << 8 * DEPTH) - 1)
-    return ((context << np.uint64(8)) | (window >> np.uint64(8 * DEPTH))).view(np.int64)
+def pairs_of(data: bytes) -> Iterator[np.ndarray]:
+    """(context, byte) pairs of a text as numbers: nearest context byte first, byte last. A long
+    text gives several arrays."""
+    for start in range(0, len(data), _CHUNK):
+        part = data[start : start + _CHUNK]
+        # Eight bytes up to and with each byte, read in place as one little-endian number.
+        before = data[max(0, start - 7) : start].rjust(7, END)
+        last = np.ndarray((len(part),), "<u8", before + part, strides=(1,))
+        window = last >> np.uint64(8 * (7 - DEPTH))
+        context = window & np.uint64((1 << 8 * DEPTH) - 1)
+        yield ((context << np.uint64(8)) | (window >> np.uint64(8 * DEPTH))).view(np.int64)
+
+
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Place of the first of each run of equal keys."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
 
 
 class Trees:
@@ -201,35 +213,66 @@ def bytes_of(tokens: list[bytes]) -> bytes:
     return b" ".join(tokens[:-1]) + tokens[-1]
 
 
-def _block_counts(texts: Iterator[str | None], train: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+def _added(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct keys with their counts, several runs of them, as one such run. A slice of
+    the keys is added up at a time, so the runs are never copied whole."""
+    longest = max((keys for keys, _ in runs), key=len)
+    step = max(1, len(longest) * _CHUNK // (4 * max(1, sum(len(keys) for keys, _ in runs))))
+    borders = longest[step::step]
+    cuts = [[0, *np.searchsorted(keys, borders), len(keys)] for keys, _ in runs]
+    parts = []
+    for n in range(len(borders) + 1):
+        keys, counts = (
+            np.concatenate([run[side][cut[n] : cut[n + 1]] for run, cut in zip(runs, cuts)]) for side in (0, 1)
+        )
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = _firsts(keys)
+        parts.append((keys[first], np.add.reduceat(counts[order], first) if len(first) else counts))
+    return tuple(np.concatenate([p[side] for p in parts]) for side in (0, 1))
+
+
+def _block_counts(rows: Iterator[tuple[str | None, bool]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys of a block and their training counts, zero where only others have them."""
     words: tuple[Counter, Counter] = (Counter(), Counter())
     found: list[tuple[np.ndarray, np.ndarray]] = []
     waiting: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+    held = [0, 0]
 
-    def sort_pairs(side: int) -> None:
+    def sort_pairs(side: int) -> int:
+        """Adds a run to ``found``; returns how many keys wait there beyond the first run."""
         if waiting[side]:
-            keys, counts = np.unique(np.concatenate(waiting[side]), return_counts=True)
-            found.append((keys, counts * side))
+            pairs = np.concatenate(waiting[side])
             waiting[side].clear()
+            held[side] = 0
+            pairs.sort()
+            first = _firsts(pairs)
+            found.append((pairs[first], np.diff(first, append=len(pairs)) * side))
+        return sum(len(keys) for keys, _ in found[1:])
 
-    held = [0, 0]
-    for text, learn in zip(texts, train):
+    def sort_words(side: int) -> None:
+        counts = np.fromiter(words[side].values(), np.int64, len(words[side])) * side
+        keys = word_keys(list(words[side]))
+        words[side].clear()
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        first = _firsts(keys)
+        found.append((keys[first], np.add.reduceat(counts, first) if len(first) else counts))
+
+    for text, learn in rows:
         side, tokens = int(learn), tokens_of(text)
         words[side].update(tokens)
-        pairs = pairs_of(bytes_of(tokens))
-        waiting[side].append(pairs)
-        held[side] += len(pairs)
-        if held[side] > _CHUNK:
-            sort_pairs(side)
-            held[side] = 0
+        if len(words[side]) > _WORDS:
+            sort_words(side)
+        for pairs in pairs_of(bytes_of(tokens)):
+            waiting[side].append(pairs)
+            held[side] += len(pairs)
+            if held[side] >= _CHUNK and sort_pairs(side) > _WAITING:
+                found[:] = [_added(found)]
     for side in (0, 1):
         sort_pairs(side)
-        counts = np.fromiter(words[side].values(), np.int64, len(words[side])) * side
-        found.append((word_keys(list(words[side])), counts))
-    keys, place = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-    totals = np.bincount(place, np.concatenate([c for _, c in found]), len(keys))
-    return keys, totals.astype(np.int64)
+        sort_words(side)
+    return _added(found)
 
 
 def _sums(texts: list[list[bytes]], keys: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -241,20 +284,24 @@ def _sums(texts: list[list[bytes]], keys: np.ndarray, values: np.ndarray) -> np.
     held = 0
 
     def add() -> None:
-        marked = np.sort(np.concatenate(waiting))
+        marked = np.concatenate(waiting)
+        waiting.clear()
+        marked.sort()
         pairs = marked >> bits
-        first = np.concatenate([[True], pairs[1:] != pairs[:-1]])
+        first = _firsts(pairs)
         found = values[np.searchsorted(keys, pairs[first])]
-        each = found[np.cumsum(first) - 1]
-        total[:] += np.bincount(marked & ((1 << bits) - 1), each, len(texts))
+        del pairs
+        each = np.repeat(found, np.diff(first, append=len(marked)))
+        marked &= (1 << bits) - 1
+        total[:] += np.bincount(marked, each, len(texts))
 
     for number, tokens in enumerate(texts):
-        waiting.append((pairs_of(bytes_of(tokens)) << bits) | number)
-        held += len(waiting[-1])
-        if held > _CHUNK:
-            add()
-            waiting.clear()
-            held = 0
+        for pairs in pairs_of(bytes_of(tokens)):
+            waiting.append((pairs << bits) | number)
+            held += len(pairs)
+            if held >= _CHUNK:
+                add()
+                held = 0
     if waiting:
         add()
     return total
@@ -276,12 +323,15 @@ def score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text",
     blocks = max(1, -(-input_bytes(rows) // block_bytes))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
 
-    def list_keys(block: pa.Table) -> pa.Table:
+    def list_keys(block: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = _block_counts(
-            (t.as_py() for t in block.column("text")), block.column("train").to_pylist()
+            (t.as_py(), learn) for batch in batches
+            for t, learn in zip(batch.column("text"), batch.column("train").to_pylist())
         )
-        number = np.full(len(keys), block.column("block")[0].as_py(), np.int32)
-        return pa.table({"block": number, "key": keys, "n": counts})
+        for start in range(0, len(keys), _ROWS):
+            part = slice(start, start + _ROWS)
+            number = np.full(len(keys[part]), block[0].as_py(), np.int32)
+            yield pa.RecordBatch.from_pydict({"block": number, "key": keys[part], "n": counts[part]})
 
     listed = scratch.write(
         "listed", rows.groupBy("block").applyInArrow(list_keys, "block int, key bigint, n bigint")
@@ -336,6 +386,7 @@ def score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text",
         keys, values = (table.column(c).to_numpy() for c in ("key", "value"))
         order = np.argsort(keys)
         keys, values = keys[order], values[order]
+        del order
         first_pair = np.searchsorted(keys, 0)
         pair_keys, pair_values = keys[first_pair:], values[first_pair:]
         places: dict[bytes, int] = {}
@@ -343,6 +394,9 @@ def score(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text",
         parts = []
         for part in block.to_batches(max_chunksize=512):
             texts = [tokens_of(t) for t in part.column("text").to_pylist()]
+            if len(places) > _WORDS:
+                places.clear()
+                seen, lengths = np.zeros(0), np.zeros(0, np.int64)
             fresh = [w for w in set().union(*texts) if w not in places]
             places.update(zip(fresh, range(len(places), len(places) + len(fresh))))
             seen = np.concatenate([seen, values[np.searchsorted(keys, word_keys(fresh))]])

@@ -1,5 +1,7 @@
 import math
 import random
+import tracemalloc
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -118,3 +120,48 @@ def test_odd_texts_and_no_training(spark, docs_of):
         assert abs(got[i]["score"] - size * 8 * math.log10(0.5)) < 1e-6 * max(1, size)
         assert abs(got[i]["bits_per_byte"] - 8) < 1e-6
     assert ctw.score(docs.limit(0), "learn").count() == 0
+
+
+def pairs_by_definition(data):
+    padded = ctw.END * ctw.DEPTH + data
+    for i, byte in enumerate(data):
+        yield int.from_bytes(padded[i : i + ctw.DEPTH][::-1] + bytes([byte]), "big")
+
+
+def test_keys_of_a_block_are_whole_whatever_is_sorted_at_once(monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(60)}" for _ in range(rng.randrange(90))) for _ in range(50)] + [None, ""]
+    rows = [(t, i % 3 > 0) for i, t in enumerate(texts)]
+    want = Counter()
+    for text, learn in rows:
+        tokens = ctw.tokens_of(text)
+        for key in [*pairs_by_definition(ctw.bytes_of(tokens)), *ctw.word_keys(tokens).tolist()]:
+            want[key] += learn
+    for chunk, waiting, words in [(1 << 20, 1 << 20, 1 << 20), (64, 100, 7), (5, 1, 1)]:
+        monkeypatch.setattr(ctw, "_CHUNK", chunk)
+        monkeypatch.setattr(ctw, "_WAITING", waiting)
+        monkeypatch.setattr(ctw, "_WORDS", words)
+        keys, counts = ctw._block_counts(iter(rows))
+        assert dict(zip(keys.tolist(), counts.tolist())) == want and (np.diff(keys) > 0).all()
+        pairs = keys[keys >= 0]
+        values = (pairs % 97).astype(float)
+        own = [ctw.tokens_of(t) for t in texts]
+        sums = [sum(p % 97 for p in pairs_by_definition(ctw.bytes_of(t))) for t in own]
+        assert ctw._sums(own, pairs, values).tolist() == sums
+
+
+def test_few_pairs_of_a_block_are_held_at_once():
+    rng = np.random.default_rng(4)
+    letters = rng.choice(np.frombuffer(b"abcd  ", np.uint8), 5_000_000).tobytes().decode()
+    texts = [letters[i : i + 50_000] for i in range(0, len(letters), 50_000)]
+    tracemalloc.start()
+    keys, _ = ctw._block_counts((t, True) for t in texts)
+    counted = tracemalloc.get_traced_memory()[1]
+    pairs = keys[keys >= 0]
+    tokens, values = [ctw.tokens_of(t) for t in texts], np.zeros(len(pairs))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.reset_peak()
+    ctw._sums(tokens, pairs, values)
+    summed = tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.stop()
+    assert counted < 60e6 and summed < 60e6, (len(keys), counted, summed)
