@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerweave.llm import language_id, lsh_forest, piece_viterbi, string_tiling
-from ledgerweave.llm.common import Scratch, ship
+from ledgerweave.llm.common import Scratch, ship, small_batches
 from ledgerweave.llm.queries import piece_model
 
 # The first and last stages hold a learned model and a tokenizer, which SQL cannot express;
@@ -25,6 +25,7 @@ LEAST_SCORE = 0.5
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones teach."""
     ship(spark)
+    small_batches(spark)
     model = language_id.fit(docs)
     return language_id.keep_known(docs, model, LEAST_SCORE)
 
@@ -36,6 +37,7 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     share an id are one document, of which the first row in the order of its columns stays.
     """
     ship(spark)
+    small_batches(spark)
     found = lsh_forest.near_duplicates(docs, width=5, percent=80)
     gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
     left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
@@ -54,6 +56,7 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     ship(spark)
+    small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return string_tiling.clean(docs, benchmark)
 
@@ -61,6 +64,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their piece ids; ``decoded`` is the text read back from them."""
     ship(spark)
+    small_batches(spark)
     return piece_viterbi.with_pieces(docs, piece_model)
 
 

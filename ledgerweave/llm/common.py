@@ -41,6 +41,16 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes: ten thousand whole texts, Spark's default, can be any size, and
+    executor and Python worker hold several copies of a batch. A limit that the session has stays."""
+    if spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, "4m")
+
+
 class Scratch:
     """Tables of one operator call below the session's shared folder.
 

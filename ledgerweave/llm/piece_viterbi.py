@@ -59,7 +59,7 @@ def _marked_words(text: str) -> list[str]:
 class Pieces:
     """A model's pieces, and the words encoded so far."""
 
-    REMEMBERED = 600_000  # words of one generation; the one before it is kept as well
+    REMEMBERED = 200_000  # words of one generation; the one before it is kept as well
 
     def __init__(self, path: str):
         import sentencepiece

@@ -1,3 +1,8 @@
+import random
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +122,46 @@ def test_rows_without_id_are_drawn_by_their_text(spark, docs_of):
     model = language_id.fit(docs_of(rows), sample_docs=500)
     drawn = sum(order == 0 for _, order in model.keys)
     assert 350 < drawn < 650
+
+
+def test_a_task_holds_no_second_model_and_no_batch_of_plain_texts(spark, docs_of):
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(3000)})
+    model = language_id.fit(docs_of([(i, " ".join(words[i::40]), "en") for i in range(40)]))
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(rng.choices(words, k=400)) for _ in range(2000)]})
+    shape = (None, "", "!! 12", "zzz " + words[0])
+    want = [language_id._Scorer(model).predict(t) for t in shape]
+    tracemalloc.start()
+    scorer = language_id._Scorer(model)
+    assert tracemalloc.get_traced_memory()[1] < 2 * len(model.marked)
+    parts = list(language_id._parts(batch, "text"))
+    found = [p for part in parts for p in scorer.predict_all(part.column("text").to_pylist())]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 2000 and peak < 2 * batch.nbytes and max(p.num_rows for p in parts) <= language_id.ROWS
+    assert scorer.predict_all(list(shape)) == want and want[0] == want[1] == want[2] == ("und", 0.0)
+    long = pa.RecordBatch.from_pydict({"text": ["a" * (language_id.TEXT_BYTES + 1), None, "b", "c" * language_id.TEXT_BYTES]})
+    assert [p.num_rows for p in language_id._parts(long, "text")] == [1, 2, 1]
+
+
+def test_equal_hashes_are_told_apart(monkeypatch):
+    whole = language_id._hashes
+    monkeypatch.setattr(language_id, "_hashes", lambda keys, seed: whole(keys, seed) % np.uint64(5 if seed == 0 else 1 << 20))
+    keys = [f"0{c}{d}" for c in "abcdef" for d in "abcdef"]
+    model = language_id._model(["en"], pa.array(keys), np.arange(36, dtype=np.float32).reshape(36, 1))
+    scorer = language_id._Scorer(model)
+    assert model.seed > 0 and [scorer.weight_of(k[1:])[0] for k in keys] == list(range(36))
+    monkeypatch.setattr(language_id, "_hashes", lambda keys, seed: np.full(len(keys), model.hashes[7]))
+    assert (scorer.rows_of(["0zz", model.marked[7].as_py()]) == [-1, 7]).all()
+
+
+def test_words_are_counted_whole_in_every_language_of_a_batch(monkeypatch):
+    monkeypatch.setattr(language_id, "WORDS", 3)
+    monkeypatch.setattr(language_id, "ROWS", 2)
+    rows = [("en", "a b A"), ("fr", "a c"), ("en", None), ("en", "b d"), ("fr", "a")]
+    batch = pa.RecordBatch.from_pydict({"lang": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    got = {}
+    for part in language_id._count_words(iter([batch])):
+        for lang, word, n in zip(*(part.column(c).to_pylist() for c in ("lang", "word", "n"))):
+            got[lang, word] = got.get((lang, word), 0) + n
+    assert got == {("en", "a"): 2, ("en", "b"): 2, ("en", "d"): 1, ("fr", "a"): 2, ("fr", "c"): 1}

@@ -1,9 +1,10 @@
 """Each stage against a brute-force version of its decision."""
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 
-from ledgerweave.llm import queries, string_tiling
+from ledgerweave.llm import common, queries, string_tiling
 from llm_cases import docs_of, shipped  # noqa: F401
 from test_lsh_forest import brute
 
@@ -58,3 +59,22 @@ def test_odd_tables(spark, docs_of):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF_DIR)
     assert empty.count() == 0 and queries.piece_model()
+
+
+def test_arrow_batches_of_every_stage_are_bounded_by_bytes(spark, docs_of):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(common.ARROW_BYTES)
+            stage(spark, docs_of([(1, "the cat sat")]), SF_DIR)
+            long = spark.range(0, 3000, 1, 1).selectExpr("repeat('word ', 1000) AS text")
+            found = [r["bytes"] for r in long.mapInArrow(sizes, "bytes bigint").collect()]
+            assert sum(found) > 14e6 and max(found) < 5e6
+        spark.conf.set(common.ARROW_BYTES, "1m")
+        corpus_pipeline.known_language(spark, docs_of([(1, "the cat sat")]), SF_DIR)
+        assert spark.conf.get(common.ARROW_BYTES) == "1m"
+    finally:
+        spark.conf.unset(common.ARROW_BYTES)
